@@ -63,13 +63,18 @@ def parse_size(text: Column) -> Column:
     )
 
 
-def unit_price(price: Column, size_text: Column) -> Column:
-    """Struct (unit_price, unit): price per base unit to four places and its
-    ``$/<base>`` label; both NULL without a price or a positive size."""
-    size = parse_size(size_text)
+def price_per_base(price: Column, size: Column) -> Column:
+    """Struct (unit_price, unit) from a price and an already parsed size: price
+    per base unit to four places and its ``$/<base>`` label; both NULL without a
+    price or a positive size."""
     usable = price.isNotNull() & (size["base_qty"] > 0)
     per_unit = F.round(F.try_divide(price.cast("double"), size["base_qty"]), 4)
     return F.struct(
         F.when(usable, per_unit).alias("unit_price"),
         F.when(usable, F.concat(F.lit("$/"), size["base_unit"])).alias("unit"),
     )
+
+
+def unit_price(price: Column, size_text: Column) -> Column:
+    """:func:`price_per_base` straight from the size text."""
+    return price_per_base(price, parse_size(size_text))

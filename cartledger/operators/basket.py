@@ -205,6 +205,10 @@ def runner_up(ranking: DataFrame) -> DataFrame:
     )
 
 
+def _offered(mode: str):
+    return lambda offer: offer[mode].isNotNull()
+
+
 def missing_items(items: DataFrame, offers: DataFrame, sheet: DataFrame) -> DataFrame:
     """(basket, mode, source, label) for every line a ranked store lacks.
 
@@ -225,7 +229,7 @@ def missing_items(items: DataFrame, offers: DataFrame, sheet: DataFrame) -> Data
         "canonical_id",
         *[
             F.transform(
-                F.filter("offers", lambda o, m=m: o[m].isNotNull()), lambda o: o["source"]
+                F.filter("offers", _offered(m)), lambda o: o["source"]
             ).alias(f"have_{m}")
             for m in MODES
         ],

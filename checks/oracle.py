@@ -65,9 +65,9 @@ ROLES_SQL = {
         best_guess AS candidate_canonical_id, guess_confidence AS proposed_confidence,
         'open' AS status FROM source_products WHERE canonical_id IS NULL""",
     "cents": """SELECT *, (2 * regular_cents * (100 - percent) + 100) // 200 AS paid_cents FROM (
-        SELECT *, (2 * round(l_extendedprice * 100)::BIGINT + l_quantity::BIGINT)
+        SELECT *, (2 * floor(l_extendedprice * 100 + 0.5)::BIGINT + l_quantity::BIGINT)
                   // (2 * l_quantity::BIGINT) AS regular_cents,
-               round(l_discount * 100)::BIGINT AS percent FROM lineitem)""",
+               floor(l_discount * 100 + 0.5)::BIGINT AS percent FROM lineitem)""",
     "prices": """SELECT l_orderkey || '-' || l_linenumber || '-' || l_suppkey || '-' || l_partkey AS price_id,
         l_suppkey || '-' || l_partkey AS source_product_id, l_partkey, source,
         l_suppkey AS store_id, l_shipdate AS observed_at,
@@ -129,7 +129,7 @@ ROLES_SQL = {
         list_sort(list(DISTINCT source)) AS stores_used FROM item_cost GROUP BY basket_id""",
     "spans": """SELECT canonical_id, count(DISTINCT source) AS n_sources, min(price) AS low,
         max(price) AS high FROM gold GROUP BY canonical_id""",
-    "optimized": """SELECT l.basket_id, coalesce(n_priced, 0) AS n_items, n_items AS n_list,
+    "optimized": """SELECT l.basket_id, coalesce(n_priced, 0) AS n_items, l.n_items AS n_list,
           coalesce(split_total, 0) AS split_total, stores_used,
           best.source AS best_single_source, best.store_total AS best_single_total,
           best.store_total - split_total AS savings_vs_single,

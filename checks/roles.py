@@ -132,10 +132,10 @@ class Roles:
     def priced_lines(self) -> DataFrame:
         """Line items with whole-cent regular and paid prices."""
         regular = F.expr(
-            "(2 * cast(round(l_extendedprice * 100) as bigint) + cast(l_quantity as bigint))"
+            "(2 * cast(floor(l_extendedprice * 100 + 0.5) as bigint) + cast(l_quantity as bigint))"
             " div (2 * cast(l_quantity as bigint))"
         )
-        percent = F.round(F.col("l_discount") * 100).cast("bigint")
+        percent = F.floor(F.col("l_discount") * 100 + 0.5).cast("bigint")
         return self.table("lineitem").withColumn("regular_cents", regular).withColumn(
             "percent", percent
         ).withColumn(
@@ -166,17 +166,17 @@ class Roles:
     @cached_property
     def gold(self) -> DataFrame:
         """Current trusted prices; the unit price is read off the listing's size."""
-        from cartledger.functions.sizes import unit_price
+        from cartledger.functions.sizes import parse_size, price_per_base
         from cartledger.operators.gold import gold_current_prices
 
         gold = gold_current_prices(
             self.prices, self.source_products, self.canonical, self.stores, tie_break=PRICE_TIES
         )
         sizes = self.table("part").select(
-            F.col("p_partkey").cast("string").alias("_sku"), size_text().alias("_size")
+            F.col("p_partkey").cast("string").alias("_sku"), parse_size(size_text()).alias("_size")
         )
         sku = F.substring_index("source_product_id", "-", -1)
-        priced = unit_price(F.col("price"), F.col("_size"))
+        priced = price_per_base(F.col("price"), F.col("_size"))
         return (
             gold.withColumn("_sku", sku)
             .join(sizes, "_sku", "left")
