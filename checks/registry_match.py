@@ -17,6 +17,7 @@ from cartledger.operators import similarity_join as J
 from cartledger.functions import similarity as S
 from cartledger.plans import narration as N
 from cartledger.plans import reports
+from cartledger.session import cut_lineage
 
 from .oracle import quoted
 from .registry import day, dbl, joined, query
@@ -118,7 +119,7 @@ EXTRA = {
           FROM serial s JOIN lists l ON l.list_id = s.list_id AND l.position = s.position + 1
           LEFT JOIN choices c ON c.list_id = s.list_id AND c.position = s.position + 1)""",
     "cited": """SELECT basket_id, max(ad_week) AS ad_week, count(price_id) AS n_price_ids,
-        list_sort(list(price_id))[1:20] AS price_ids
+        coalesce(list_sort(list(price_id) FILTER (WHERE price_id IS NOT NULL))[1:20], []) AS price_ids
         FROM items LEFT JOIN (SELECT canonical_id, price_id, ad_week FROM gold) USING (canonical_id)
         GROUP BY basket_id""",
     "texts": """SELECT basket_id, CASE WHEN flexible_winner IS NULL
@@ -279,9 +280,9 @@ def sorted_names(r: Roles):
 @matched("fuzzy_pairs", "SELECT left_id, right_id, common, total::BIGINT AS total FROM alike")
 def _(r):
     names = sorted_names(r)
-    ranks = J.gram_ranks(names)
-    rows = J.signed(names, ranks, V.REVIEW_LOW_SCORE)
-    pairs = J.similar_pairs(rows, rows, ranks, V.REVIEW_LOW_SCORE, F.col("l.id") > F.col("r.id"))
+    index = J.index_for(names, V.REVIEW_LOW_SCORE)
+    rows = cut_lineage(J.signed(names, index))
+    pairs = J.similar_pairs(rows, rows, index, F.col("l.id") > F.col("r.id"))
     return pairs.select("left_id", "right_id", F.col("common").cast("bigint").alias("common"),
                         F.col("total").cast("bigint").alias("total"))
 
@@ -567,7 +568,7 @@ def _(r):
 @matched(
     "provenance",
     """SELECT basket_id, strftime(ad_week, '%Y-%m-%d') AS ad_week, n_price_ids,
-       array_to_string(price_ids, ',') AS price_ids FROM cited""",
+       coalesce(array_to_string(price_ids, ','), '') AS price_ids FROM cited""",
 )
 def _(r):
     return B.provenance(r.items, r.gold).select("basket_id", day("ad_week"), "n_price_ids",
@@ -577,7 +578,7 @@ def _(r):
 @matched(
     "citations",
     """SELECT basket_id, 'basket ' || basket_id || ' · ad week ' || coalesce(strftime(ad_week, '%Y-%m-%d'), 'None')
-       || ' · ' || n_price_ids || ' gold price rows (price_id ' || array_to_string(price_ids, ',')
+       || ' · ' || n_price_ids || ' gold price rows (price_id ' || coalesce(array_to_string(price_ids, ','), '')
        || CASE WHEN n_price_ids > 20 THEN '…' ELSE '' END || ')' AS citations FROM cited""",
 )
 def _(r):
