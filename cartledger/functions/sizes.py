@@ -42,37 +42,48 @@ def parse_size(text: Column) -> Column:
     """Struct (magnitude, unit, base_unit, base_qty), NULL when no size is found.
 
     The first amount with a unit wins; otherwise ``per <unit>`` counts as one.
+    The text is searched once: the match is bound to a lambda variable and the
+    rest reads that short token.
     """
     sized, per = size_patterns()
     low = F.lower(text)
-    is_sized, is_per = low.rlike(sized), low.rlike(per)
-    unit = F.when(is_sized, F.regexp_extract(low, sized, 2)).when(
-        is_per, F.regexp_extract(low, per, 1)
-    )
-    magnitude = F.when(
-        is_sized, parse_magnitude(F.regexp_extract(low, sized, 1))
-    ).when(is_per, F.lit(1.0))
-    return F.when(
-        unit.isNotNull(),
-        F.struct(
-            magnitude.alias("magnitude"),
-            unit.alias("unit"),
-            _lookup(_UNIT_BASE, unit).alias("base_unit"),
-            (magnitude * _lookup(_UNIT_FACTOR, unit)).alias("base_qty"),
-        ),
+    found = F.coalesce(
+        F.nullif(F.regexp_extract(low, sized, 0), F.lit("")),
+        F.nullif(F.regexp_extract(low, per, 0), F.lit("")),
     )
 
+    def read(token: Column) -> Column:
+        is_per = token.startswith("per")
+        unit = F.regexp_replace(token, r"^(?:per\s+|[\d\s./]+)", "")
+        amount = F.rtrim(F.regexp_extract(token, r"^(?:\d+\s+\d+/\d+|[\d./]+)", 0))
+        magnitude = F.when(is_per, F.lit(1.0)).otherwise(parse_magnitude(amount))
+        return F.when(
+            token.isNotNull(),
+            F.struct(
+                magnitude.alias("magnitude"),
+                unit.alias("unit"),
+                _lookup(_UNIT_BASE, unit).alias("base_unit"),
+                (magnitude * _lookup(_UNIT_FACTOR, unit)).alias("base_qty"),
+            ),
+        )
+
+    return F.get(F.transform(F.array(found), read), F.lit(0))
+
 
 def price_per_base(price: Column, size: Column) -> Column:
-    """Struct (unit_price, unit) from a price and an already parsed size: price
-    per base unit to four places and its ``$/<base>`` label; both NULL without a
-    price or a positive size."""
-    usable = price.isNotNull() & (size["base_qty"] > 0)
-    per_unit = F.round(F.try_divide(price.cast("double"), size["base_qty"]), 4)
-    return F.struct(
-        F.when(usable, per_unit).alias("unit_price"),
-        F.when(usable, F.concat(F.lit("$/"), size["base_unit"])).alias("unit"),
-    )
+    """Struct (unit_price, unit) from a price and a size struct: price per base
+    unit to four places and its ``$/<base>`` label; both NULL without a price or
+    a positive size."""
+
+    def read(parsed: Column) -> Column:
+        usable = price.isNotNull() & (parsed["base_qty"] > 0)
+        per_unit = F.round(F.try_divide(price.cast("double"), parsed["base_qty"]), 4)
+        return F.struct(
+            F.when(usable, per_unit).alias("unit_price"),
+            F.when(usable, F.concat(F.lit("$/"), parsed["base_unit"])).alias("unit"),
+        )
+
+    return F.get(F.transform(F.array(size), read), F.lit(0))
 
 
 def unit_price(price: Column, size_text: Column) -> Column:

@@ -14,8 +14,10 @@ from ..operators import resolve as R
 from ..operators import review, state, terms
 from ..operators.gold import cross_store_items, gold_current_prices
 from ..schemas import conform
+from ..session import cut_lineage
 from ..streaming.ingest import parse_artifacts, prices_of, sightings
 from . import narration as N
+from .baskets import basket_tables
 
 Tables = dict[str, DataFrame]
 
@@ -88,8 +90,6 @@ def adjudicate_queue(tables: Tables, decide: Callable, limit: int | None = None)
 
 def state_written(df: DataFrame) -> DataFrame:
     """Answers of a paid decider are written once, never asked for again."""
-    from ..session import cut_lineage
-
     return cut_lineage(df)
 
 
@@ -133,25 +133,20 @@ def optimize(lists: DataFrame, tables: Tables, basket_id: int = 1) -> Tables:
     items = placed.filter("canonical_id IS NOT NULL").select(
         F.col("list_id").alias("basket_id"), "canonical_id", "category", "label", "quantity"
     )
-    offers = B.product_offers(gold)
-    sheet = B.basket_sheet(items, offers)
+    t = basket_tables(items, gold)
     return {
         "basket_items": B.replace_basket(tables["basket_items"], basket_id, items.drop("basket_id")),
         "missing_terms": placed.filter("canonical_id IS NULL").select("position", "label"),
-        "ranking": B.store_ranking(sheet),
-        "verdict": B.verdict(sheet),
-        "optimized": B.optimize_basket(sheet),
+        "ranking": t.ranking,
+        "verdict": t.verdict,
+        "optimized": B.optimize_basket(t.sheet),
     }
 
 
 def fact_packs(tables: Tables) -> DataFrame:
-    gold = current_gold(tables)
-    items, offers = tables["basket_items"], B.product_offers(gold)
-    sheet = B.basket_sheet(items, offers)
-    return N.fact_pack(
-        B.store_ranking(sheet), B.missing_items(items, offers, sheet), B.verdict(sheet),
-        tables["sources"], B.provenance(items, gold.withColumn("price_id", F.col("price_id").cast("string"))),
-    )
+    gold = current_gold(tables).withColumn("price_id", F.col("price_id").cast("string"))
+    t = basket_tables(tables["basket_items"], gold)
+    return N.fact_pack(t.ranking, t.missing, t.verdict, tables["sources"], t.provenance)
 
 
 def narrate(tables: Tables, write: Callable[[str], str], model: str | None = None):

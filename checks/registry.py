@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cartledger.operators import basket as B
 from cartledger.operators import gold as G
+from cartledger.plans.baskets import basket_tables
 
 from .oracle import sql
 from .roles import Roles
@@ -145,7 +146,8 @@ def _(r):
        WHERE o.canonical_id IS NULL""",
 )
 def _(r):
-    return B.missing_items(r.items, r.offers, r.sheet)
+    t = basket_tables(r.items, r.gold)
+    return t.missing
 
 
 @query(

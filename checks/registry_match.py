@@ -17,6 +17,7 @@ from cartledger.operators import similarity_join as J
 from cartledger.functions import similarity as S
 from cartledger.plans import narration as N
 from cartledger.plans import reports
+from cartledger.plans.baskets import basket_tables
 from cartledger.session import cut_lineage
 
 from .oracle import quoted
@@ -617,9 +618,8 @@ def _(r):
        LEFT JOIN sources f ON f.source = flexible_winner LEFT JOIN sources e ON e.source = exact_winner""",
 )
 def _(r):
-    return reports.verdict_report(
-        B.verdict(r.sheet), r.baskets, r.sources, B.provenance(r.items, r.gold)
-    ).select(
+    t = basket_tables(r.items, r.gold)
+    return reports.verdict_report(t.verdict, r.baskets, r.sources, t.provenance).select(
         "basket_id", "name", day("ad_week"), "n_items", "flexible_winner", "flexible_banner",
         "exact_winner", "exact_banner", *dbl("flexible_total", "split_savings"),
     )
@@ -641,15 +641,15 @@ def _(r):
        ON m.basket_id = r.basket_id AND m.mode = r.mode AND m.source = r.source""",
 )
 def _(r):
-    return reports.verdict_lines(r.ranking, B.missing_items(r.items, r.offers, r.sheet))
+    t = basket_tables(r.items, r.gold)
+    return reports.verdict_lines(t.ranking, t.missing)
 
 
 # ---- fact packs and narration ---------------------------------------------------------------
 
 def packs(r: Roles):
-    verdicts = B.verdict(r.sheet)
-    missing = B.missing_items(r.items, r.offers, r.sheet)
-    return N.fact_pack(r.ranking, missing, verdicts, r.sources, B.provenance(r.items, r.gold)), verdicts
+    t = basket_tables(r.items, r.gold)
+    return N.fact_pack(t.ranking, t.missing, t.verdict, r.sources, t.provenance), t.verdict
 
 
 @matched(
