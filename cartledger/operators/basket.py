@@ -70,21 +70,18 @@ def basket_item_cost(items: DataFrame, offers: DataFrame) -> DataFrame:
     )
 
 
+LIST_FIGURES = ["n_items", "n_priced", "split_cents", "n_multi", "spread_cents"]
+
+
 def basket_sheet(items: DataFrame, offers: DataFrame) -> DataFrame:
-    """One row per (basket, source), plus one row per basket with a NULL source
-    for whole-list figures; both come from a single aggregation.
+    """One row per (basket, source); lines nobody offers stand under a NULL source.
 
-    Each line is exploded into its offers and one list marker. Partial
-    aggregation runs before the shuffle, so a basket holding much of the data is
+    Each line is exploded into its offers. The first of them also carries the
+    line's whole-list figures, so summed over a basket's rows every line counts
+    once, and one aggregation yields store totals and list totals alike. Partial
+    aggregation runs before the shuffle: a basket holding much of the data is
     reduced to one row per source in every task.
     """
-    marker = F.struct(
-        F.lit(None).cast("string").alias("source"),
-        *[F.lit(None).cast("bigint").alias(mode) for mode in MODES],
-    )
-    none = F.array().cast(
-        "array<struct<source:string," + ",".join(f"{m}:bigint" for m in MODES) + ">>"
-    )
     lines = items.join(offers, "canonical_id", "left").select(
         "basket_id",
         "quantity",
@@ -92,12 +89,10 @@ def basket_sheet(items: DataFrame, offers: DataFrame) -> DataFrame:
         "low",
         "high",
         F.col("best.source").alias("best_source"),
-        F.explode(
-            F.concat(F.array(marker), F.coalesce(F.col("offers"), none))
-        ).alias("offer"),
+        F.posexplode_outer("offers").alias("position", "offer"),
     )
     source, qty = F.col("offer.source"), F.col("quantity")
-    whole = source.isNull()
+    whole = F.coalesce(F.col("position"), F.lit(0)) == 0
     multi = whole & (F.col("n_sources") >= 2)
     return lines.groupBy("basket_id", source.alias("source")).agg(
         *[F.count(f"offer.{m}").alias(f"covered_{m}") for m in MODES],
@@ -112,15 +107,14 @@ def basket_sheet(items: DataFrame, offers: DataFrame) -> DataFrame:
 
 
 def _with_list_figures(sheet: DataFrame) -> DataFrame:
-    """Copy the whole-list figures onto the store rows of the same basket; a
-    group is one basket's sources, never its lines."""
+    """Give every row its basket's whole-list figures; a group is one basket's
+    sources, never its lines."""
     w = Window.partitionBy("basket_id")
-    names = ["n_items", "n_priced", "split_cents", "n_multi", "spread_cents"]
     return sheet.select(
         "basket_id", "source", "best_lines",
         *[f"covered_{m}" for m in MODES],
         *[f"cents_{m}" for m in MODES],
-        *[F.max(F.when(F.col("source").isNull(), F.col(n))).over(w).alias(n) for n in names],
+        *[F.sum(n).over(w).alias(n) for n in LIST_FIGURES],
     )
 
 
