@@ -17,7 +17,11 @@ ORACLE: dict = {}
 
 def query(name: str, twin: str | None = None, **extra: str):
     def add(fn):
-        QUERIES[name] = lambda spark, sf_dir: fn(Roles(spark, sf_dir))
+        def run(spark, sf_dir):
+            spark.conf.set("spark.sql.session.timeZone", "UTC")  # ad weeks and stamps
+            return fn(Roles(spark, sf_dir))
+
+        QUERIES[name] = run
         if twin is not None:
             ORACLE[name] = sql(twin, **extra)
         return fn
