@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,17 +26,14 @@ def local_session(cpus: int = 8, memory: str = "12g", **conf: str) -> SparkSessi
 
 
 def work_dir(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables: ``spark.checkpoint.dir``.
+    """Shared folder for intermediate tables: ``spark.checkpoint.dir``, which must be set.
 
-    A machine-local folder is used only by local sessions that name none.
+    The library never falls back to a machine-local folder; a harness that runs on
+    one machine names its own before it starts.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="cartledger-")
-    spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 

@@ -8,6 +8,7 @@ from cartledger.operators import basket as B
 from cartledger.operators import gold as G
 from cartledger.plans.baskets import basket_tables
 
+from .harness import shared_folder
 from .oracle import sql
 from .roles import Roles
 
@@ -19,6 +20,7 @@ def query(name: str, twin: str | None = None, **extra: str):
     def add(fn):
         def run(spark, sf_dir):
             spark.conf.set("spark.sql.session.timeZone", "UTC")  # ad weeks and stamps
+            shared_folder(spark)
             return fn(Roles(spark, sf_dir))
 
         QUERIES[name] = run

@@ -6,6 +6,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from cartledger.session import local_session  # noqa: E402
+from checks.harness import shared_folder  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -13,4 +14,5 @@ def spark():
     session = local_session(4, memory="6g")
     session.conf.set("spark.sql.shuffle.partitions", "4")
     session.sparkContext.setLogLevel("ERROR")
+    shared_folder(session)
     return session
