@@ -7,8 +7,9 @@ sets at the least similarity of 0.75 share no bucket with probability below 3e-7
 
 Buckets are never expanded into all pairs. First each class meets the smallest class of its bucket;
 confirmed links give components. Only buckets that still hold several components are looked at again,
-and only across components, in bounded blocks. A candidate must pass the size bound and an estimate
-from its signature (more than five deviations below the threshold) before full sets are compared.
+only across components and in bounded blocks, from which no more links come than join components.
+A candidate must pass the size bound and an estimate from its signature (more than five deviations
+below the threshold) before full sets are compared.
 
 Nulls and empty texts have an empty set and are linked with nothing. Repeated rows count as copies
 and return each; a null doc_id never names a component unless all of its ids are null. Empty tables
@@ -28,7 +29,7 @@ from pyspark.sql import types as T
 
 from cartledger.session import cut_lineage
 
-from .texts import Words, gram_hashes, lowered, mix, slices, text_buffer
+from .texts import Words, gram_hashes, lowered, mix, ranges, slices, text_buffer
 
 SHINGLE = 5
 #: Link from this percentage of the union on.
@@ -37,8 +38,8 @@ BANDS, ROWS = 40, 4
 MINIMA = BANDS * ROWS
 #: Equal bytes of a signature that a pair at the threshold falls short of with probability 1e-8.
 SIGNATURE_LEAST = int(0.55 * MINIMA)
-#: Members of a bucket that one block compares; larger buckets are cut into blocks.
-BLOCK = 256
+#: Shingles of a block; buckets with more are cut into blocks that meet two by two.
+BLOCK = 500_000
 
 _RANDOM = np.random.default_rng(75)
 _FACTORS = _RANDOM.integers(0, 1 << 63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -154,13 +155,17 @@ def _alike(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     )
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs that full sets confirm; texts of the classes in question are read again."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def _sets_of(wanted: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(node, shingles) of the wanted classes; their texts are read again."""
     speakers = classes.join(wanted, "node", "left_semi").select(F.col("speaker").alias("doc_id")).distinct()
     texts = docs.select("doc_id", "text").join(speakers, "doc_id", "left_semi")
     sets = texts.mapInArrow(_full_sets, "node long, shingles binary").dropDuplicates(["node"])
-    sets = cut_lineage(sets.join(wanted, "node", "left_semi"))
+    return cut_lineage(sets.join(wanted, "node", "left_semi"))
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs that full sets confirm."""
+    sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), docs, classes)
     side = lambda x: sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s_{x}"))
     size = lambda x: (F.octet_length(f"s_{x}") / 8).cast("long")
     return (
@@ -198,35 +203,82 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return stars.union(stars.select("component", "component").distinct())
 
 
-def _blocks(keyed: DataFrame) -> DataFrame:
-    """Cross-component (a, b) of buckets above BLOCK members that sizes and signatures allow."""
-    n = F.ceil(F.col("members") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("node", F.lit(3)), n).cast("int")
-    rows = keyed.withColumn("n", n).withColumn("mine", mine)
-    other = F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other")
-    rows = rows.select("*", other).select(
-        "key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
-        (F.col("mine") > F.col("other")).alias("right"), "node", "component", "n_shingles", "signature",
-    )
+def _pairs_in(left: pd.DataFrame, right: pd.DataFrame, groups: dict[int, int]) -> list[tuple[int, int]]:
+    """Confirmed links between two blocks of a bucket, only those that join two groups of components.
 
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        same = group["right"].nunique() == 1
-        left = group[~group["right"]] if not same else group
-        right = group[group["right"]] if not same else group
-        if same and (group["right"].iloc[0] or group["i"].iloc[0] != group["j"].iloc[0]):
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        a_sig = np.frombuffer(b"".join(left["signature"]), np.uint8).reshape(-1, MINIMA)
-        b_sig = np.frombuffer(b"".join(right["signature"]), np.uint8).reshape(-1, MINIMA)
-        found = []
-        nodes, groups, sizes = (right[c].to_numpy() for c in ("node", "component", "n_shingles"))
-        for sig, node, component, size in zip(a_sig, left["node"], left["component"], left["n_shingles"], strict=True):
-            fits = (groups != component) & (np.minimum(sizes, size) * 100 >= np.maximum(sizes, size) * PERCENT)
-            at = np.flatnonzero(fits)
-            at = at[(b_sig[at] == sig).sum(axis=1) >= SIGNATURE_LEAST]
-            found += [(min(node, x), max(node, x)) for x in nodes[at].tolist()]
-        return pd.DataFrame(sorted(set(found)), columns=["a", "b"], dtype="int64")
-
-    return rows.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long")
+    A pair is looked at in the first band only in which it meets.
+    """
+    def columns(block: pd.DataFrame):
+        sets = [np.frombuffer(x, np.uint64) for x in block["shingles"]]
+        return (block["node"].to_numpy(), np.stack(block["bands"]), np.frombuffer(b"".join(block["signature"]), np.uint8).reshape(-1, MINIMA),
+                np.array([len(x) for x in sets]), sets)
+
+    nodes_a, bands_a, signs_a, sizes_a, sets_a = columns(left)
+    nodes_b, bands_b, signs_b, sizes_b, sets_b = columns(right)
+    band, found = int(left["band"].iloc[0]), []
+    flat = np.concatenate(sets_b)
+    values, places = np.unique(flat, return_inverse=True)
+    begin = np.cumsum(sizes_b) - sizes_b
+    label_a = np.array([groups[c] for c in left["component"]])
+    label_b = label_a if left is right else np.array([groups[c] for c in right["component"]])
+    for i in range(len(nodes_a)):
+        at = np.flatnonzero((label_b != label_a[i]) & (np.minimum(sizes_b, sizes_a[i]) * 100 >= np.maximum(sizes_b, sizes_a[i]) * PERCENT))
+        if left is right:
+            at = at[at > i]
+        at = at[~(bands_b[at, :band] == bands_a[i, :band]).any(axis=1)]
+        at = at[(signs_b[at] == signs_a[i]).sum(axis=1) >= SIGNATURE_LEAST]
+        if not len(at):
+            continue
+        own = np.zeros(len(values) + 1, bool)
+        slot = np.searchsorted(values, sets_a[i])
+        slot[slot == len(values)] = 0
+        own[slot[values[slot] == sets_a[i]]] = True
+        chosen = ranges(begin[at], sizes_b[at])
+        both = np.add.reduceat(own[places[chosen]], np.cumsum(sizes_b[at]) - sizes_b[at], dtype=np.int64)
+        for j in at[both * 100 >= (sizes_a[i] + sizes_b[at] - both) * PERCENT].tolist():
+            if label_a[i] != label_b[j]:
+                found.append((int(nodes_a[i]), int(nodes_b[j])))
+                keep, gone = int(label_a[i]), int(label_b[j])
+                label_a[label_a == gone] = keep
+                label_b[label_b == gone] = keep
+                for c, g in groups.items():
+                    if g == gone:
+                        groups[c] = keep
+    return found
+
+
+def _compare(bundle: pd.DataFrame) -> pd.DataFrame:
+    found = []
+    for (_, i, j), block in bundle.groupby(["key", "i", "j"], sort=True):
+        groups = {c: k for k, c in enumerate(sorted(set(block["component"])))}
+        if i == j:
+            found += _pairs_in(block, block, groups)
+        elif block["right"].nunique() == 2:
+            found += _pairs_in(block[~block["right"]], block[block["right"]], groups)
+    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+
+def _across(marked: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Confirmed (a, b) between components that share a bucket: enough of them to join what belongs together.
+
+    ``marked`` has the members of such buckets. A bucket is cut into blocks of about BLOCK shingles;
+    two blocks, or a bundle of small buckets, meet in one task with their full sets.
+    """
+    rows = cut_lineage(marked.join(classes.select("node", "n_shingles"), "node"))
+    sets = _sets_of(rows.select("node").distinct(), docs, classes)
+    total = rows.agg(F.sum("n_shingles")).first()[0] or 0
+    weight = rows.groupBy("key").agg(F.sum("n_shingles").alias("weight")).withColumnRenamed("key", "k")
+    rows = rows.join(weight, F.col("key") == F.col("k")).withColumn("n", F.ceil(F.col("weight") / BLOCK).cast("int"))
+    rows = rows.withColumn("mine", F.pmod(F.xxhash64("node", F.lit(3)), F.col("n")).cast("int"))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other"))
+    i, j = F.least("mine", "other"), F.greatest("mine", "other")
+    small = F.pmod(F.xxhash64("key"), F.lit(max(1, -(-total // BLOCK))))
+    rows = rows.select(
+        F.when(F.col("n") == 1, small).otherwise(F.xxhash64("key", i, j)).alias("bundle"), "key", "band", i.alias("i"), j.alias("j"),
+        (F.col("mine") > F.col("other")).alias("right"), "node", "component",
+    )
+    full = cut_lineage(classes.select("node", "bands", "signature").join(sets, "node"))
+    return rows.join(full, "node").groupBy("bundle").applyInPandas(_compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -243,7 +295,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .select("own.node", F.col("own.doc_id").alias("speaker"), "n_shingles", "bands", "signature")
         .dropDuplicates(["node"])
     )
-    keys = classes.select("node", F.explode("bands").alias("key"))
+    keys = classes.select("node", F.posexplode("bands").alias("band", "key"))
     shared = keys.groupBy("key").agg(F.count("*").alias("members"), F.min("node").alias("hub")).where("members > 1")
     buckets = cut_lineage(keys.join(shared, "key"))
 
@@ -253,21 +305,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     label = found.select(F.col("node").alias("n0"), "component")
     marked = buckets.join(label, F.col("node") == F.col("n0"), "left").select(
-        "key", "node", "members", F.coalesce("component", "node").alias("component")
+        "key", "band", "node", F.coalesce("component", "node").alias("component")
     )
     mixed = marked.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    left = marked.join(mixed, "key", "left_semi")
-    left = cut_lineage(left.join(classes.select("node", "n_shingles", "signature"), "node"))
-    few, many = left.where(F.col("members") <= BLOCK), left.where(F.col("members") > BLOCK)
-    p, q = (few.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "component", "n_shingles", "signature")]) for s in "ab")
-    across = (
-        p.join(q, "key").where("node_a < node_b and component_a <> component_b")
-        .where(_sizes_allow("n_shingles_a", "n_shingles_b"))
-        .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-    )
-    second = _alike(across, classes).union(_blocks(many)).distinct()
-    second = cut_lineage(second.join(links.select("a", "b"), ["a", "b"], "left_anti"))
-    more = cut_lineage(_confirmed(second, docs, classes))
+    more = cut_lineage(_across(marked.join(mixed, "key", "left_semi"), docs, classes))
     if not more.isEmpty():
         found = cut_lineage(components(links.union(more)))
 
