@@ -57,15 +57,23 @@ def _next(values: Column, i: Column, n: int) -> list[Column]:
 def fingerprints(rough: Column, lengths: list[int]) -> Column:
     """Distinct window minima of a text's grams, and its grams of each of ``lengths``."""
 
+    def grams_of(hashes: Column, n: int) -> Column:
+        return F.transform(hashes, lambda h, i: F.xxhash64(F.lit(n), h, *_next(hashes, i, n)))
+
     def of(hashes: Column) -> Column:
-        grams = F.transform(hashes, lambda h, i: F.xxhash64(h, *_next(hashes, i, GRAM)))
+        grams = grams_of(hashes, GRAM)
         least = let(grams, lambda g: F.transform(g, lambda x, i: F.least(x, *_next(g, i, WINDOW - GRAM + 1))))
-        whole = [F.transform(hashes, lambda h, i, n=n: F.xxhash64(F.lit(n), h, *_next(hashes, i, n))) for n in lengths]
+        whole = [grams_of(hashes, n) for n in lengths]
         return F.array_distinct(F.concat(least, *whole) if whole else least)
 
     return let(F.transform(rough, lambda w: F.xxhash64(w)), of)
 
 
+def _whole(rough: Column, n: int) -> Column:
+    hashes = F.transform(rough, lambda w: F.xxhash64(w))
+    return F.array(let(hashes, lambda h: F.xxhash64(F.lit(n), h[0], *_next(h, F.lit(0), n))))
+
+
 def _windows(own: Column, n: int) -> Column:
     """(place, size, key, check) of every run of n words."""
     one = lambda i: let(F.concat_ws(" ", F.slice(own, i + 1, n)), lambda s: F.struct(
@@ -83,7 +91,8 @@ def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     prints = None
     for n, part in [(None, items.where(F.size("own") >= WINDOW)), *((n, items.where(F.size("own") == n)) for n in lengths)]:
         rough = F.transform("own", lambda w: F.lower(w))
-        made = fingerprints(rough, []) if n is None else F.array(let(F.transform(rough, lambda w: F.xxhash64(w)), lambda h, n=n: F.xxhash64(F.lit(n), h[0], *_next(h, F.lit(0), n))))
+        # a short item's first gram of its own length is all of it
+        made = fingerprints(rough, []) if n is None else _whole(rough, n)
         part = part.select(F.explode(made).alias("print"))
         prints = part if prints is None else prints.union(part)
     prints = cut_lineage(prints.distinct())

@@ -32,6 +32,8 @@ BLOCKS = 1024
 SEED = 17
 
 _HALVINGS = 60
+#: Names of the added columns, and of those used on the way; a column of such a name is replaced.
+ADDED = ("mix_tokens", "mix_pass", "mix_block", "mix_key", "mix_source", "mix_of", "mix_turns", "mix_turn")
 
 
 def n_tokens(text: str = "text") -> Column:
@@ -103,7 +105,7 @@ def mixed(docs: DataFrame, evenness: float = TARGET_EVENNESS, max_repeats: float
     Adds ``mix_tokens``, ``mix_pass`` (from 0), ``mix_block`` and ``mix_key``: read in its order, the
     sources stand next to each other in the weights of the mix throughout.
     """
-    own = [c for c in docs.columns if not c.startswith("mix_")]
+    own = [c for c in docs.columns if c not in ADDED]
     block = F.pmod(F.xxhash64(F.lit(SEED), "doc_id", "text"), F.lit(BLOCKS)).cast("int")
     docs = docs.select(*own).withColumns({"mix_tokens": n_tokens(), "mix_block": block})
     sizes = cut_lineage(docs.groupBy("source", "mix_block").agg(F.sum("mix_tokens").alias("tokens")))
@@ -126,14 +128,14 @@ def mixed(docs: DataFrame, evenness: float = TARGET_EVENNESS, max_repeats: float
         blocks.select("source", "mix_pass", "repeats", room.alias("room"), F.explode(before).alias("b"))
         # a whole pass, or the blocks of which at least half fits
         .where((F.col("repeats") - F.col("mix_pass") >= 1) | (F.col("b.seen") + F.col("b.tokens") / 2 < F.col("room")))
-        .groupBy(F.col("source").alias("of"), F.col("b.mix_block").alias("block_of"))
-        .agg(F.array_sort(F.collect_list(F.struct("mix_pass", "b.place", "b.width", "repeats"))).alias("turns"))
+        .groupBy(F.col("source").alias("mix_source"), F.col("b.mix_block").alias("mix_of"))
+        .agg(F.array_sort(F.collect_list(F.struct("mix_pass", "b.place", "b.width", "repeats"))).alias("mix_turns"))
     )
-    joined = docs.join(cut_lineage(taken), F.col("source").eqNullSafe(F.col("of")) & (F.col("mix_block") == F.col("block_of")))
-    u = F.pmod(F.xxhash64(F.lit(SEED + 1), "doc_id", "t.mix_pass"), F.lit(1 << 30)) / float(1 << 30)
-    key = (F.col("t.mix_pass") + F.col("t.place") + u * F.col("t.width")) / F.col("t.repeats")
-    return joined.select(*own, "mix_tokens", "mix_block", F.explode("turns").alias("t")).select(
-        *own, "mix_tokens", F.col("t.mix_pass").alias("mix_pass"), "mix_block", key.alias("mix_key")
+    joined = docs.join(cut_lineage(taken), F.col("source").eqNullSafe(F.col("mix_source")) & (F.col("mix_block") == F.col("mix_of")))
+    u = F.pmod(F.xxhash64(F.lit(SEED + 1), "doc_id", "mix_turn.mix_pass"), F.lit(1 << 30)) / float(1 << 30)
+    key = (F.col("mix_turn.mix_pass") + F.col("mix_turn.place") + u * F.col("mix_turn.width")) / F.col("mix_turn.repeats")
+    return joined.select(*own, "mix_tokens", "mix_block", F.explode("mix_turns").alias("mix_turn")).select(
+        *own, "mix_tokens", F.col("mix_turn.mix_pass").alias("mix_pass"), "mix_block", key.alias("mix_key")
     )
 
 

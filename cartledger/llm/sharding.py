@@ -1,10 +1,9 @@
 """Balanced label propagation: linked rows move towards their neighbours' shards under quotas.
 
 Rows start in contiguous runs of a random order. In each round every linked row looks at its
-neighbours' shards and asks for the one that holds most of them, by turns among smaller and larger
-shard numbers; requests are granted by fine hash
-classes, whole classes only, as far as the quota of a shard allows. At last shards are levelled:
-those above their share pass rows on, rows without links first, to those below. Row counts then differ
+neighbours' shards, by turns at later and earlier neighbours, and asks for the one that holds most
+of them; requests are granted by fine hash classes, whole classes only, as far as the quota of a
+shard allows. At last shards are levelled: those above their share pass rows on, rows without links first, to those below. Row counts then differ
 by one at most (the law ``rows``).
 
 Rows are numbered without a global sort in one task: ranges of the sort key are counted apart, and
@@ -26,8 +25,8 @@ from cartledger.session import cut_lineage
 
 SHARDS = 24
 ROUNDS = 6
-#: A shard may grow to this part of its share while rows move.
-QUOTA = 1.1
+#: A shard may grow to this part of its share while rows move; levelling brings it back.
+QUOTA = 2.0
 #: Hash classes by which requests are granted.
 CLASSES = 1024
 LAW = "rows"
@@ -70,8 +69,10 @@ def propagate(nodes: DataFrame, edges: DataFrame, n: int, shards: int = SHARDS,
     quota = max(1, int(QUOTA * n / shards))
     labels = nodes
     for turn in range(rounds):
+        # rows look at later neighbours in one round and at earlier ones in the next, so no two swap
+        seen = both.where("dst < src" if turn % 2 else "dst > src")
         votes = (
-            both.join(labels.select(F.col("node").alias("dst"), "shard"), "dst")
+            seen.join(labels.select(F.col("node").alias("dst"), "shard"), "dst")
             .groupBy("src", "shard").agg(F.count("*").alias("votes"))
         )
         best = votes.groupBy("src").agg(F.max(F.struct("votes", (-F.col("shard")).alias("minus"))).alias("best"))
@@ -79,8 +80,6 @@ def propagate(nodes: DataFrame, edges: DataFrame, n: int, shards: int = SHARDS,
         asks = (
             labels.join(best.select(F.col("src").alias("node"), F.col("best.votes").alias("votes"), (-F.col("best.minus")).alias("to")), "node")
             .join(stay.select(F.col("src").alias("node"), F.col("at").alias("shard"), "here"), ["node", "shard"], "left")
-            # towards smaller shard numbers in one round, larger ones in the next, so that no two rows swap
-            .where((F.col("to") > F.col("shard")) if turn % 2 else (F.col("to") < F.col("shard")))
             .where(F.col("votes") > F.coalesce("here", F.lit(0)))
             .select("node", "to", F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(CLASSES)).cast("int").alias("class"))
         )

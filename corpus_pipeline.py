@@ -17,7 +17,7 @@ from checks.harness import shared_folder
 def _only(docs: DataFrame, judged: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose doc_id is among those of ``judged``; null is an id like any other."""
     ids = judged.select(F.col("doc_id").alias("id_")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("id_")), "left_semi")
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["id_"]), "left_semi")
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
