@@ -15,7 +15,7 @@ from ..operators import review, state, terms
 from ..operators.gold import cross_store_items, gold_current_prices
 from ..schemas import conform
 from ..session import cut_lineage
-from ..streaming.ingest import parse_artifacts, prices_of, sightings
+from ..streaming.ingest import parse_artifacts, prices_of, sightings, waiting
 from . import narration as N
 from .baskets import basket_tables
 
@@ -24,11 +24,14 @@ Tables = dict[str, DataFrame]
 
 def normalize(artifacts: DataFrame, tables: Tables) -> Tables:
     """Payloads to resolved products and prices: parse, fold sightings, fill
-    categories, undo cross-category links, resolve what is unlinked."""
-    records = parse_artifacts(artifacts)
-    products = conform(state.source_product_table(sightings(records)), "source_products")
-    linked = tables["source_products"].select("source_product_id", *state.LINK_FIELDS)
-    products = products.drop(*state.LINK_FIELDS).join(linked, "source_product_id", "left")
+    categories, undo cross-category links, resolve what is unlinked.
+
+    Only pending artifacts are taken. Stored products stay: what is seen again takes
+    its new name and size, and keeps its first sighting, brand, known categories and
+    links. A price row that is stored already is not added again."""
+    records = parse_artifacts(waiting(artifacts))
+    seen = conform(state.source_product_table(sightings(records)), "source_products")
+    products = with_stored(seen, tables["source_products"])
     products, canonical = state.backfill_categories(
         products, tables["canonical_products"], coarse_category
     )
@@ -48,10 +51,28 @@ def normalize(artifacts: DataFrame, tables: Tables) -> Tables:
         "source_products": conform(resolved, "source_products"),
         "canonical_products": conform(canonical, "canonical_products").unionByName(new),
         "resolution_queue": tables["resolution_queue"].unionByName(conform(queued, "resolution_queue")),
-        "prices": tables["prices"].unionByName(conform(prices_of(records), "prices")),
+        "prices": tables["prices"].unionByName(
+            conform(prices_of(records), "prices").join(tables["prices"].select("price_id"), "price_id", "left_anti")
+            .select(*tables["prices"].columns)
+        ),
     }
 
 
+def with_stored(seen: DataFrame, stored: DataFrame) -> DataFrame:
+    """Products of a run folded into the stored ones."""
+    new = F.col("n.source_product_id").isNotNull()
+    later = new & F.coalesce(F.col("n.last_seen_at") >= F.col("o.last_seen_at"), F.lit(True))
+    kept = {"first_seen_at": F.least("n.first_seen_at", "o.first_seen_at"),
+            "last_seen_at": F.greatest("n.last_seen_at", "o.last_seen_at")}
+    followed = {"raw_name", "raw_size_text"}
+    both = seen.alias("n").join(stored.alias("o"), F.col("n.source_product_id") == F.col("o.source_product_id"), "full")
+    return both.select(*[
+        kept.get(c, F.when(later, F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")) if c in followed
+                 else F.coalesce(F.col(f"o.{c}"), F.col(f"n.{c}"))).alias(c)
+        for c in stored.columns
+    ])
+
+
 def rebuild_resolution(source_products: DataFrame) -> DataFrame:
     """Drop the links a resolution run made, keep adjudicated and manual ones."""
     derived = F.col("match_method").isin(V.METHOD_SEED, V.METHOD_NEW, V.METHOD_FUZZY)

@@ -4,8 +4,8 @@ The stream reads files of artifacts (manifest_id, source, store_id, region,
 fetched_at, payload). Each micro-batch writes its price rows and its folded
 sightings under ``batch=<id>``, replacing that folder: a batch replayed after a
 failure gives the same files, and together with the stream checkpoint every
-artifact counts once. An artifact delivered again in a later file is recognised
-by its hash. Late observations need no watermark: current prices order by
+artifact counts once. A delivery is known by its ``manifest_id``: the same payload
+from another store, or fetched at another time, is an observation of its own. Late observations need no watermark: current prices order by
 ``observed_at``, so an older row never displaces a newer one.
 """
 
@@ -17,13 +17,15 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..fixed_values import PARSED_SOURCES
 from ..functions.taxonomy import coarse_category
 from ..operators.state import price_observations, source_product_table, upsert_source_products
+from ..sources.artifacts import pending
 from ..sources.catalogs import parse_breadcrumb, parse_first_item, parse_string_price, unreadable
 from ..sources.pages import deal_records, parse_deals
 
 ARTIFACT_SCHEMA = """manifest_id bigint, source string, store_id string, region string,
-    fetched_at timestamp, payload string"""
+    fetched_at timestamp, request_params string, payload string"""
 
 KEYS = ["manifest_id", "store_id", "region", "fetched_at"]
 ARRIVAL = ["fetched_at", "manifest_id", "line"]
@@ -55,6 +57,21 @@ def parse_artifacts(artifacts: DataFrame, parsers: dict = PARSERS) -> DataFrame:
     )
 
 
+def waiting(artifacts: DataFrame) -> DataFrame:
+    """Artifacts that a parser takes: see ``pending``. An artifact without a status is
+    pending; one without request parameters is what its source usually sends."""
+    for name, default in (("parse_status", "pending"), ("request_params", None)):
+        if name not in artifacts.columns:
+            artifacts = artifacts.withColumn(name, F.lit(default).cast("string"))
+    usual = {s: F.to_json(F.create_map(F.lit(rule[0].removeprefix("$.")), F.lit(rule[1])))
+             for s, rule in PARSED_SOURCES.items() if rule}
+    params = F.col("request_params")
+    for source, value in usual.items():
+        params = F.when((F.col("source") == source) & F.col("request_params").isNull(), value).otherwise(params)
+    status = F.coalesce("parse_status", F.lit("pending"))
+    return pending(artifacts.withColumns({"parse_status": status, "request_params": params}))
+
+
 def sightings(records: DataFrame, old: DataFrame | None = None) -> DataFrame:
     """Folded source-product state of some records (see the upsert)."""
     return upsert_source_products(old, records.withColumn("seen_at", F.col("fetched_at")), ARRIVAL)
@@ -84,20 +101,22 @@ def _table(root: str, name: str) -> str:
 def ingest_batch(batch: DataFrame, batch_id: int, root: str) -> None:
     """Write one micro-batch; running it again replaces its own output only."""
     spark = batch.sparkSession
-    rows = batch.withColumn("sha", F.sha2("payload", 256)).dropDuplicates(["source", "sha"])
+    rows = batch.withColumn("sha", F.sha2("payload", 256)).dropDuplicates(["manifest_id"])
     seen = _table(root, "artifacts")
     if batch_id > 0:
         earlier = spark.read.parquet(seen).filter(F.col("batch") < batch_id)
-        rows = rows.join(earlier.select("source", "sha"), ["source", "sha"], "left_anti")
+        rows = rows.join(earlier.select("manifest_id"), "manifest_id", "left_anti")
     rows = rows.persist()
-    bad = unreadable(rows.filter("source <> 'aldi_kcl'")).select("manifest_id").withColumn(
+    taken = waiting(rows)
+    bad = unreadable(taken.filter("source <> 'aldi_kcl'")).select("manifest_id").withColumn(
         "failed", F.lit(True)
     )
-    log = rows.join(bad, "manifest_id", "left").select(
+    done = taken.select("manifest_id", F.lit(True).alias("taken"))
+    log = rows.join(done, "manifest_id", "left").join(bad, "manifest_id", "left").select(
         "manifest_id", "source", "sha",
-        F.when(F.col("failed"), "failed").otherwise("parsed").alias("parse_status"),
+        F.when(F.col("failed"), "failed").when(F.col("taken"), "parsed").otherwise("pending").alias("parse_status"),
     )
-    records = parse_artifacts(rows)
+    records = parse_artifacts(taken)
     folder = f"batch={batch_id}"
     prices_of(records).write.mode("overwrite").parquet(os.path.join(root, "prices", folder))
     sightings(records).write.mode("overwrite").parquet(os.path.join(root, "sightings", folder))

@@ -325,7 +325,7 @@ def _(r):
            replace(regexp_extract(anchor, '(?is)href\\s*=\\s*"([^"]*)"', 1), '&amp;', '&') AS href
          FROM (SELECT page_id, host, unnest(a) AS anchor, generate_subscripts(a, 1) AS i
            FROM (SELECT page_id, regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) AS host,
-                   regexp_extract_all(html, {quoted(H.ANCHOR)}) AS a FROM pages)))
+                   regexp_extract_all(html, '(?is)<a\\s[^>]*href="[^"]*"[^>]*>.*?</a>') AS a FROM pages)))
        WHERE contains(href, '/t'))
        QUALIFY row_number() OVER (PARTITION BY page_id, url ORDER BY i) = 1""",
 )

@@ -195,16 +195,13 @@ def _(r):
 @matched(
     "open_queue",
     """SELECT queue_id, candidate_canonical_id, proposed_confidence, source, raw_name, raw_brand,
-       candidate_name, adds_source, row_number() OVER (ORDER BY adds_source DESC, proposed_confidence DESC, queue_id) AS place
-       FROM queue_rows ORDER BY place LIMIT 500""",
+       candidate_name, adds_source FROM queue_rows""",
 )
 def _(r):
-    """The 500 pairs to adjudicate first; the limit is the feature."""
-    rows = review.prioritized(review.open_queue(r.queue, r.source_products, r.canonical), 500)
-    order = Window.orderBy(F.desc("adds_source"), F.desc("proposed_confidence"), F.asc("queue_id"))
-    return rows.select(
+    """The whole queue, in the order in which it is to be adjudicated."""
+    return review.prioritized(review.open_queue(r.queue, r.source_products, r.canonical)).select(
         "queue_id", "candidate_canonical_id", "proposed_confidence", "source", "raw_name",
-        "raw_brand", "candidate_name", "adds_source", F.row_number().over(order).alias("place"),
+        "raw_brand", "candidate_name", "adds_source",
     )
 
 
@@ -482,20 +479,30 @@ def _(r):
     """SELECT sp.source_product_id, CASE WHEN same THEN best_guess ELSE canonical_id END AS canonical_id,
        CASE WHEN same THEN 0.9 ELSE match_confidence END AS match_confidence,
        CASE WHEN same THEN 'llm_adjudicator' ELSE match_method END AS match_method,
-       CASE WHEN canonical_id IS NULL THEN CASE WHEN same THEN 'approved' ELSE 'rejected' END END AS status
-       FROM (SELECT *, canonical_id IS NULL AND split_part(source_product_id, '-', 1)::BIGINT % 2 = 0 AS same
-             FROM source_products) sp""",
-)
-def _(r):
-    even = F.substring_index("queue_id", "-", 1).cast("bigint") % 2 == 0
-    decisions = r.queue.select(
+       CASE WHEN canonical_id IS NULL THEN CASE WHEN same THEN 'approved' WHEN NOT asked THEN 'open' ELSE 'rejected' END END AS status,
+       CASE WHEN canonical_id IS NULL THEN CASE WHEN asked THEN 'stub' ELSE 'alike' END END AS reason,
+       CASE WHEN canonical_id IS NULL AND asked THEN 'llm_adjudicator' END AS resolved_by,
+       CASE WHEN canonical_id IS NULL AND asked THEN '2026-07-08' END AS resolved_at
+       FROM (SELECT *, asked AND canonical_id IS NULL AND n % 2 = 0 AS same FROM (
+             SELECT *, n % 5 <> 0 AS asked FROM (SELECT *, split_part(source_product_id, '-', 1)::BIGINT AS n
+             FROM source_products))) sp""",
+)
+def _(r):
+    n = F.substring_index("queue_id", "-", 1).cast("bigint")
+    even = n % 2 == 0
+    queue = r.queue.withColumns({
+        "status": F.lit("open"), "reason": F.lit("alike"), "resolved_by": F.lit(None).cast("string"),
+        "resolved_at": F.lit(None).cast("timestamp"),
+    })
+    decisions = queue.where(n % 5 != 0).select(
         "queue_id", "source_product_id", "candidate_canonical_id", F.lit(True).alias("same_product"),
         F.when(even, 0.9).otherwise(0.6).alias("confidence"), F.lit("stub").alias("reason"),
         F.lit(None).cast("string").alias("error"),
     )
-    products, queue = review.apply_adjudication(r.source_products, r.queue, decisions)
-    return products.join(queue.select("source_product_id", "status"), "source_product_id", "left").select(
-        "source_product_id", "canonical_id", "match_confidence", "match_method", "status"
+    products, queue = review.apply_adjudication(r.source_products, queue, decisions, now="2026-07-08")
+    closed = queue.select("source_product_id", "status", "reason", "resolved_by", day("resolved_at"))
+    return products.join(closed, "source_product_id", "left").select(
+        "source_product_id", "canonical_id", "match_confidence", "match_method", "status", "reason", "resolved_by", "resolved_at"
     )
 
 
@@ -576,6 +583,15 @@ def _(r):
         F.array_join(F.coalesce("price_ids", F.array().cast("array<string>")), ",").alias("price_ids"))
 
 
+@matched(
+    "provenance_rows",
+    """SELECT i.basket_id, i.canonical_id, g.price_id, strftime(g.ad_week, '%Y-%m-%d') AS ad_week
+       FROM items i JOIN gold g ON g.canonical_id = i.canonical_id""",
+)
+def _(r):
+    return B.provenance_rows(r.items, r.gold).select("basket_id", "canonical_id", "price_id", day("ad_week"))
+
+
 @matched(
     "citations",
     """SELECT basket_id, 'basket ' || basket_id || ' · ad week ' || coalesce(strftime(ad_week, '%Y-%m-%d'), 'None')
@@ -627,18 +643,17 @@ def _(r):
 
 @matched(
     "verdict_lines",
-    """SELECT r.basket_id, r.mode, r.source, rank, 1 AS part, 1 AS parts,
+    """SELECT r.basket_id, r.mode, r.source, rank::INT AS rank, NULL::VARCHAR AS label,
        CASE WHEN rank = 1 AND full_coverage THEN 'WINNER: ' || r.source || ' wins this week at $' || store_total
               || ' (covers all ' || n_items || ' items)'
             WHEN full_coverage THEN r.source || ': would''ve been $' || store_total
             ELSE r.source || ': $' || store_total || ' but missing ' || missing_count || ' of ' || n_items
-              || ' items (' || labels || ')' END AS line
-       FROM ranking r LEFT JOIN (
-         SELECT s.basket_id, s.mode, s.source, string_agg(i.label, ', ' ORDER BY i.label) AS labels
-         FROM ranking s JOIN items i ON i.basket_id = s.basket_id
-         LEFT JOIN offers o ON o.canonical_id = i.canonical_id AND o.source = s.source AND o.mode = s.mode
-         WHERE o.canonical_id IS NULL GROUP BY ALL) m
-       ON m.basket_id = r.basket_id AND m.mode = r.mode AND m.source = r.source""",
+              || ' items' END AS line
+       FROM ranking r UNION ALL
+       SELECT s.basket_id, s.mode, s.source, NULL, i.label, NULL
+       FROM ranking s JOIN items i ON i.basket_id = s.basket_id
+       LEFT JOIN offers o ON o.canonical_id = i.canonical_id AND o.source = s.source AND o.mode = s.mode
+       WHERE o.canonical_id IS NULL""",
 )
 def _(r):
     t = basket_tables(r.items, r.gold)

@@ -56,17 +56,22 @@ def test_verdict_and_split(plan):
 def test_missing_and_lines(plan):
     missing = plan.missing.filter("mode = 'flexible' AND source = 'aldi_kcl'")
     assert sorted(r.label for r in missing.collect()) == ["broccoli", "cookies", "salmon"]
-    lines = {(r["mode"], r.source): r.line for r in reports.verdict_lines(plan.ranking, plan.missing).collect()}
+    rows = reports.verdict_lines(plan.ranking, plan.missing).collect()
+    lines = {(r["mode"], r.source): r.line for r in rows if r.label is None}
     assert lines["flexible", "kroger"] == "WINNER: kroger wins this week at $123.17 (covers all 26 items)"
     assert lines["flexible", "wholefoods"] == "wholefoods: would've been $169.27"
-    assert lines["flexible", "aldi_kcl"] == "aldi_kcl: $83.48 but missing 3 of 26 items (broccoli, cookies, salmon)"
-
-
-def test_long_missing_lists_continue_over_lines(plan, monkeypatch):
-    monkeypatch.setattr(reports, "LABELS_PER_LINE", 2)
-    rows = reports.verdict_lines(plan.ranking, plan.missing).filter("source = 'aldi_kcl' AND mode = 'flexible'").collect()
-    labels = [x for r in rows for x in r.line.split("(")[1].rstrip(")").split(", ")]
-    assert rows[0].parts == 2 and sorted(labels) == ["broccoli", "cookies", "salmon"]
+    assert lines["flexible", "aldi_kcl"] == "aldi_kcl: $83.48 but missing 3 of 26 items"
+    labels = [r.label for r in rows if (r["mode"], r.source) == ("flexible", "aldi_kcl") and r.label]
+    assert sorted(labels) == ["broccoli", "cookies", "salmon"]
+
+
+def test_verdict_lines_have_one_shape_at_every_size(spark):
+    ranking = spark.createDataFrame([(1, "flexible", "s", 2, False, 3.0, 1500, 1502)],
+        "basket_id long, mode string, source string, rank int, full_coverage boolean, store_total double, missing_count int, n_items int")
+    missing = spark.range(1500).selectExpr("1L AS basket_id", "'flexible' AS mode", "'s' AS source", "concat('label ', id) AS label")
+    rows = reports.verdict_lines(ranking, missing).collect()
+    assert [r.line for r in rows if r.label is None] == ["s: $3.00 but missing 1500 of 1502 items"]
+    assert len({r.label for r in rows if r.label}) == 1500
 
 
 def test_facts_and_audit(spark, demo, plan):
