@@ -1 +1,67 @@
-ORACLE: dict[str, str] = {}
+"""SQL twins of the queries that one statement expresses."""
+
+from __future__ import annotations
+
+WORD = r"[^\x20\x09-\x0D]+"
+LOW = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_REMOVED = rf"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+win AS (SELECT doc_id, p, md5(array_to_string(w[p:p + 49], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS p FROM w WHERE len(w) >= 50)),
+hit AS (SELECT doc_id, p FROM (SELECT *, min(doc_id) OVER (PARTITION BY h) AS first FROM win) WHERE first < doc_id),
+gone AS (SELECT DISTINCT doc_id, p + k AS p FROM hit, range(50) AS t(k)),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM w),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+cut AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(cut.n, 0)::BIGINT AS n_removed,
+  sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id) LEFT JOIN cut USING (doc_id)"""
+
+_CLEAN = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+grams AS (SELECT DISTINCT item_id, n, array_to_string(w[p:p + n - 1], ' ') AS g
+  FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS p
+    FROM (SELECT *, least(len(w), 10) AS n FROM b WHERE len(w) > 0))),
+win AS (SELECT doc_id, n, p, array_to_string(w[p:p + n - 1], ' ') AS g
+  FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS p
+    FROM d, (SELECT DISTINCT n FROM grams) WHERE len(w) >= n)),
+hit AS (SELECT doc_id, item_id, win.n, p FROM win JOIN grams ON grams.n = win.n AND grams.g = win.g),
+cover AS (SELECT doc_id, count(DISTINCT p + k) AS n_hit FROM hit, range(10) AS t(k) WHERE k < n GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n, string_agg(i, ',' ORDER BY i) AS s
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM hit) GROUP BY doc_id)
+SELECT doc_id, coalesce(len(w), 0)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n, 0)::BIGINT AS n_items,
+  sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+_NEAR = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({LOW}, '{WORD}') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + least(len(w), 5) - 1], ' ') AS g
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS p FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM shared JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * c >= 75 * (p.n + q.n - c)),
+sym AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.a, sym.y FROM reach JOIN sym ON sym.x = reach.b),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM c LEFT JOIN n USING (doc_id)"""
+
+_URLS = """
+WITH u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN regexp_extract(url, '://([^/?#]*)', 1) ELSE '' END AS raw,
+    CASE WHEN contains(url, '://') THEN regexp_extract(url, '://[^/?#]*([^?#]*)', 1) ELSE '' END AS path FROM pages),
+h AS (SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path FROM u),
+r(host, path, verdict) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
+  ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+best AS (SELECT page_id, arg_max(r.host || r.path, length(r.host || r.path)) AS rule,
+    arg_max(verdict, length(r.host || r.path)) AS verdict
+  FROM h JOIN r ON (h.host = r.host OR ends_with(h.host, '.' || r.host)) AND starts_with(h.path, r.path) GROUP BY page_id)
+SELECT h.page_id, h.host, h.path, best.rule, coalesce(best.verdict, 'allow') AS verdict FROM h LEFT JOIN best USING (page_id)"""
+
+ORACLE: dict[str, str] = {
+    "op2_minhash_near_dedup": _NEAR,
+    "op6_substring_fm": _REMOVED,
+    "op7_decontamination": _CLEAN,
+    "op8_url_filter": _URLS,
+}
