@@ -196,68 +196,92 @@ DOLLARS = r"\$\s?([\d,]+(?:\.\d{1,2})?)"
 NUMBER = r"\b\d+(?:\.\d+)?\b"
 FACT_VIEWS = ["gold_current_prices", "gold_basket_item_cost"]
 
-# --- demo shopping list: category | label | keyword | quantity (fixed values) -----------
-SHOPPING_LIST = """
-produce|bananas|banana|2
-produce|apples|apple|1
-produce|potatoes|russet potato|1
-produce|onions|yellow onion|1
-produce|carrots|carrot|1
-produce|tomatoes|tomato|1
-produce|lettuce|lettuce|1
-produce|broccoli|broccoli|1
-dairy|milk|milk|2
-dairy|eggs|egg|1
-dairy|butter|butter|1
-dairy|yogurt|yogurt|2
-dairy|cheese|cheddar|1
-protein|chicken|chicken breast|2
-protein|ground beef|ground beef|1
-protein|salmon|salmon|1
-protein|bacon|bacon|1
-staples|rice|rice|1
-staples|pasta|pasta|2
-staples|bread|bread|2
-staples|cereal|cereal|2
-staples|peanut butter|peanut butter|1
-staples|olive oil|olive oil|1
-snacks|crackers|cracker|1
-snacks|chips|chips|1
-snacks|cookies|cookie|1
-"""
+# --- demo shopping list: category, label, keyword, quantity (fixed values) -----------
+SHOPPING_LIST = [
+    ("produce", "bananas", "banana", 2),
+    ("produce", "apples", "apple", 1),
+    ("produce", "potatoes", "russet potato", 1),
+    ("produce", "onions", "yellow onion", 1),
+    ("produce", "carrots", "carrot", 1),
+    ("produce", "tomatoes", "tomato", 1),
+    ("produce", "lettuce", "lettuce", 1),
+    ("produce", "broccoli", "broccoli", 1),
+    ("dairy", "milk", "milk", 2),
+    ("dairy", "eggs", "egg", 1),
+    ("dairy", "butter", "butter", 1),
+    ("dairy", "yogurt", "yogurt", 2),
+    ("dairy", "cheese", "cheddar", 1),
+    ("protein", "chicken", "chicken breast", 2),
+    ("protein", "ground beef", "ground beef", 1),
+    ("protein", "salmon", "salmon", 1),
+    ("protein", "bacon", "bacon", 1),
+    ("staples", "rice", "rice", 1),
+    ("staples", "pasta", "pasta", 2),
+    ("staples", "bread", "bread", 2),
+    ("staples", "cereal", "cereal", 2),
+    ("staples", "peanut butter", "peanut butter", 1),
+    ("staples", "olive oil", "olive oil", 1),
+    ("snacks", "crackers", "cracker", 1),
+    ("snacks", "chips", "chips", 1),
+    ("snacks", "cookies", "cookie", 1),
+]
 
 # --- demo catalogue (fixed values) ---------------------------------------------------------
-# label | name | size | kroger | wholefoods | traderjoes | aldi_kcl   (empty = not carried)
-DEMO_CATALOG = """
-bananas|Bananas|per lb|0.59|0.69|0.23|0.44
-apples|Gala Apples|3 lb bag|4.49|5.49|4.29|3.29
-potatoes|Russet Potatoes|5 lb bag|3.99|5.99|4.49|2.85
-onions|Yellow Onions|3 lb bag|2.99|3.99|2.79|2.15
-carrots|Carrots|2 lb bag|1.99|2.49|1.79|1.45
-tomatoes|Roma Tomatoes|per lb|1.79|2.49|1.99|1.25
-lettuce|Romaine Lettuce Hearts|3 ct|3.49|4.29|3.29|2.89
-broccoli|Broccoli Crowns|per lb|2.29|2.99|2.49|
-milk|Whole Milk|1 gal|3.79|4.79|3.99|3.15
-eggs|Large Eggs|12 ct|3.29|4.49|2.99|2.65
-butter|Salted Butter|16 oz|4.49|5.49|3.99|3.75
-yogurt|Greek Yogurt|32 oz|4.99|5.99|5.49|4.29
-cheese|Sharp Cheddar|8 oz|2.99|4.99|3.49|2.49
-chicken|Boneless Chicken Breast|per lb|3.49|6.99|5.99|2.89
-ground beef|Ground Beef 80/20|per lb|4.99|6.99|5.49|4.15
-salmon|Atlantic Salmon Fillet|per lb|9.99|12.99|11.49|
-bacon|Hickory Smoked Bacon|16 oz|5.99|7.99|5.49|4.45
-rice|Jasmine Rice|5 lb|6.49|8.99|7.99|5.49
-pasta|Penne Pasta|16 oz|1.29|1.99|1.49|0.95
-bread|Whole Wheat Bread|20 oz loaf|2.79|3.99|2.99|1.95
-cereal|Honey Oat Cereal|18 oz|3.49|4.99|3.99|2.79
-peanut butter|Creamy Peanut Butter|16 oz|2.99|4.49|2.49|2.15
-olive oil|Extra Virgin Olive Oil|16.9 fl oz|8.99|11.99|7.99|6.95
-crackers|Cheese Crackers|12.4 oz|3.29|4.49||2.35
-chips|Tortilla Chips|13 oz|3.79|4.29|2.99|2.25
-cookies|Chocolate Chip Cookies|13 oz|3.99|5.49|4.49|
-"""
-DEMO_CONFIDENCE = {"kroger": 1.0, "wholefoods": 0.99, "traderjoes": 0.97, "aldi_kcl": 0.9}
-DEMO_LOWER_CONFIDENCE = {("yogurt", "kroger"): 0.9, ("cereal", "kroger"): 0.9}
+# label, name, size, and for each source that carries it the price and the confidence of the match
+DEMO_CATALOG = [
+    ("bananas", "Bananas", "per lb",
+     {"kroger": (0.59, 1.0), "wholefoods": (0.69, 0.99), "traderjoes": (0.23, 0.97), "aldi_kcl": (0.44, 0.9)}),
+    ("apples", "Gala Apples", "3 lb bag",
+     {"kroger": (4.49, 1.0), "wholefoods": (5.49, 0.99), "traderjoes": (4.29, 0.97), "aldi_kcl": (3.29, 0.9)}),
+    ("potatoes", "Russet Potatoes", "5 lb bag",
+     {"kroger": (3.99, 1.0), "wholefoods": (5.99, 0.99), "traderjoes": (4.49, 0.97), "aldi_kcl": (2.85, 0.9)}),
+    ("onions", "Yellow Onions", "3 lb bag",
+     {"kroger": (2.99, 1.0), "wholefoods": (3.99, 0.99), "traderjoes": (2.79, 0.97), "aldi_kcl": (2.15, 0.9)}),
+    ("carrots", "Carrots", "2 lb bag",
+     {"kroger": (1.99, 1.0), "wholefoods": (2.49, 0.99), "traderjoes": (1.79, 0.97), "aldi_kcl": (1.45, 0.9)}),
+    ("tomatoes", "Roma Tomatoes", "per lb",
+     {"kroger": (1.79, 1.0), "wholefoods": (2.49, 0.99), "traderjoes": (1.99, 0.97), "aldi_kcl": (1.25, 0.9)}),
+    ("lettuce", "Romaine Lettuce Hearts", "3 ct",
+     {"kroger": (3.49, 1.0), "wholefoods": (4.29, 0.99), "traderjoes": (3.29, 0.97), "aldi_kcl": (2.89, 0.9)}),
+    ("broccoli", "Broccoli Crowns", "per lb",
+     {"kroger": (2.29, 1.0), "wholefoods": (2.99, 0.99), "traderjoes": (2.49, 0.97)}),
+    ("milk", "Whole Milk", "1 gal",
+     {"kroger": (3.79, 1.0), "wholefoods": (4.79, 0.99), "traderjoes": (3.99, 0.97), "aldi_kcl": (3.15, 0.9)}),
+    ("eggs", "Large Eggs", "12 ct",
+     {"kroger": (3.29, 1.0), "wholefoods": (4.49, 0.99), "traderjoes": (2.99, 0.97), "aldi_kcl": (2.65, 0.9)}),
+    ("butter", "Salted Butter", "16 oz",
+     {"kroger": (4.49, 1.0), "wholefoods": (5.49, 0.99), "traderjoes": (3.99, 0.97), "aldi_kcl": (3.75, 0.9)}),
+    ("yogurt", "Greek Yogurt", "32 oz",
+     {"kroger": (4.99, 0.9), "wholefoods": (5.99, 0.99), "traderjoes": (5.49, 0.97), "aldi_kcl": (4.29, 0.9)}),
+    ("cheese", "Sharp Cheddar", "8 oz",
+     {"kroger": (2.99, 1.0), "wholefoods": (4.99, 0.99), "traderjoes": (3.49, 0.97), "aldi_kcl": (2.49, 0.9)}),
+    ("chicken", "Boneless Chicken Breast", "per lb",
+     {"kroger": (3.49, 1.0), "wholefoods": (6.99, 0.99), "traderjoes": (5.99, 0.97), "aldi_kcl": (2.89, 0.9)}),
+    ("ground beef", "Ground Beef 80/20", "per lb",
+     {"kroger": (4.99, 1.0), "wholefoods": (6.99, 0.99), "traderjoes": (5.49, 0.97), "aldi_kcl": (4.15, 0.9)}),
+    ("salmon", "Atlantic Salmon Fillet", "per lb",
+     {"kroger": (9.99, 1.0), "wholefoods": (12.99, 0.99), "traderjoes": (11.49, 0.97)}),
+    ("bacon", "Hickory Smoked Bacon", "16 oz",
+     {"kroger": (5.99, 1.0), "wholefoods": (7.99, 0.99), "traderjoes": (5.49, 0.97), "aldi_kcl": (4.45, 0.9)}),
+    ("rice", "Jasmine Rice", "5 lb",
+     {"kroger": (6.49, 1.0), "wholefoods": (8.99, 0.99), "traderjoes": (7.99, 0.97), "aldi_kcl": (5.49, 0.9)}),
+    ("pasta", "Penne Pasta", "16 oz",
+     {"kroger": (1.29, 1.0), "wholefoods": (1.99, 0.99), "traderjoes": (1.49, 0.97), "aldi_kcl": (0.95, 0.9)}),
+    ("bread", "Whole Wheat Bread", "20 oz loaf",
+     {"kroger": (2.79, 1.0), "wholefoods": (3.99, 0.99), "traderjoes": (2.99, 0.97), "aldi_kcl": (1.95, 0.9)}),
+    ("cereal", "Honey Oat Cereal", "18 oz",
+     {"kroger": (3.49, 0.9), "wholefoods": (4.99, 0.99), "traderjoes": (3.99, 0.97), "aldi_kcl": (2.79, 0.9)}),
+    ("peanut butter", "Creamy Peanut Butter", "16 oz",
+     {"kroger": (2.99, 1.0), "wholefoods": (4.49, 0.99), "traderjoes": (2.49, 0.97), "aldi_kcl": (2.15, 0.9)}),
+    ("olive oil", "Extra Virgin Olive Oil", "16.9 fl oz",
+     {"kroger": (8.99, 1.0), "wholefoods": (11.99, 0.99), "traderjoes": (7.99, 0.97), "aldi_kcl": (6.95, 0.9)}),
+    ("crackers", "Cheese Crackers", "12.4 oz",
+     {"kroger": (3.29, 1.0), "wholefoods": (4.49, 0.99), "aldi_kcl": (2.35, 0.9)}),
+    ("chips", "Tortilla Chips", "13 oz",
+     {"kroger": (3.79, 1.0), "wholefoods": (4.29, 0.99), "traderjoes": (2.99, 0.97), "aldi_kcl": (2.25, 0.9)}),
+    ("cookies", "Chocolate Chip Cookies", "13 oz",
+     {"kroger": (3.99, 1.0), "wholefoods": (5.49, 0.99), "traderjoes": (4.49, 0.97)}),
+]
 DEMO_REGULAR_PRICES = {
     ("chicken", "kroger"): 5.99,
     ("cheese", "kroger"): 4.29,

@@ -15,10 +15,6 @@ from ..schemas import conform
 DEMO_SOURCES = list(V.DEMO_STORES)
 
 
-def _rows(text: str) -> list[list[str]]:
-    return [line.split("|") for line in text.strip().splitlines()]
-
-
 def source_dimension(spark: SparkSession, extra: tuple = ()) -> DataFrame:
     names = "source string, banner string, chain_parent string, access_method string, confidence_tier string"
     return spark.createDataFrame([*V.SOURCES, *extra], names)
@@ -26,10 +22,7 @@ def source_dimension(spark: SparkSession, extra: tuple = ()) -> DataFrame:
 
 def shopping_list(spark: SparkSession) -> DataFrame:
     """(position, category, label, keyword, quantity, coarse)."""
-    rows = [
-        (i + 1, c, label, kw, int(q))
-        for i, (c, label, kw, q) in enumerate(_rows(V.SHOPPING_LIST))
-    ]
+    rows = [(i, *row) for i, row in enumerate(V.SHOPPING_LIST, 1)]
     df = spark.createDataFrame(
         rows, "position int, category string, label string, keyword string, quantity bigint"
     )
@@ -40,12 +33,9 @@ def demo_tables(spark: SparkSession, now: datetime.datetime) -> dict[str, DataFr
     """The demo tables by name. Writing them with overwrite replaces an earlier
     demo; nothing is random."""
     offers = [
-        (label, name, size, source, float(price),
-         V.DEMO_LOWER_CONFIDENCE.get((label, source), V.DEMO_CONFIDENCE[source]),
-         V.DEMO_REGULAR_PRICES.get((label, source)))
-        for label, name, size, *prices in _rows(V.DEMO_CATALOG)
-        for source, price in zip(DEMO_SOURCES, prices)
-        if price
+        (label, name, size, source, price, confidence, V.DEMO_REGULAR_PRICES.get((label, source)))
+        for label, name, size, carriers in V.DEMO_CATALOG
+        for source, (price, confidence) in carriers.items()
     ]
     carried = spark.createDataFrame(
         offers,
