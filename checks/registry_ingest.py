@@ -439,10 +439,10 @@ def _(r):
     )
 
 
-FOODS = ["chicken crackers", "broth", "banana bread", "bananas", "rice pudding", "jasmine rice",
-         "whole milk", "egg noodles", "eggs", "frozen peas", "ice cream", "dish soap", "gift card",
-         "half & half", "hot dogs", "hotdogs", "tortilla chips", "batteries", "apple juice"]
-HINTS = ["", "Snacks", "Natural & Organic", "Meat & Seafood", "Dairy", "Plant-Based", "Bakery"]
+FOODS = ["turkey jerky", "onion gravy", "lemon muffins", "limes", "mango sorbet", "basmati rice",
+         "sour cream", "beef noodles", "gouda wedge", "frozen corn", "gelato", "glass cleaner", "phone charger",
+         "half and half", "hot dog", "meatballs", "rye crackers", "diapers", "grape juice"]
+HINTS = ["", "Candy", "Seasonal", "Poultry", "Cheese shop", "Plant Based", "Breakfast"]
 
 
 def _pick(words, index):

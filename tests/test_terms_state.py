@@ -34,6 +34,20 @@ def test_candidates(spark):
     assert [r.canonical_id for r in left.collect()] == [3]
 
 
+def test_candidates_of_lists(spark):
+    gold = spark.createDataFrame([(i, f"Plum {'x' * i}", None, "a", 1.0) for i in range(1, 6)], GOLD)
+    lists = spark.createDataFrame([(1, "plum", None), (2, "plum", None), (2, "fig", None), (3, "plum", "dairy")],
+                                  "list_id int, keyword string, coarse string")
+    every = terms.term_candidates(lists, terms.gold_products(gold))
+    assert {r.list_id: r["count"] for r in every.groupBy("list_id").count().collect()} == {1: 5, 2: 5, 3: 5}
+    best = terms.term_candidates(lists, terms.gold_products(gold), limit=2)
+    assert sorted((r.list_id, r.canonical_id) for r in best.collect()) == [(i, c) for i in (1, 2, 3) for c in (1, 2)]
+    rejected = spark.createDataFrame([("plum", 1, "no_match", 0.9)],
+                                     "term string, canonical_id bigint, verdict string, confidence double")
+    left = terms.term_candidates(lists, terms.gold_products(gold), rejected, limit=1)
+    assert sorted((r.list_id, r.canonical_id) for r in left.collect()) == [(1, 2), (2, 2), (3, 2)]
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_assignment_equals_choosing_in_order(spark, seed):
     r = random.Random(seed)
