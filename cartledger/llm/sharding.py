@@ -112,21 +112,21 @@ def levelled(labels: DataFrame, n: int, shards: int = SHARDS) -> DataFrame:
     held = {r["shard"]: r["count"] for r in labels.groupBy("shard").count().collect()}
     surplus = [max(0, held.get(i, 0) - s) for i, s in enumerate(share)]
     first = list(accumulate([0, *surplus]))
-    # the k-th surplus row of all goes to the shard whose gap covers k
+    # the k-th surplus row of all goes to the shard whose gap covers k; gaps come to as many rows as surpluses
     gaps, at = [], 0
     for i, s in enumerate(share):
         if (gap := s - held.get(i, 0)) > 0:
-            gaps.append((at, at + gap, i))
+            gaps.append((at, i))
             at += gap
     begins = labels.sparkSession.createDataFrame([(i, x) for i, x in enumerate(first[:-1])], "f_ int, first long")
-    into = labels.sparkSession.createDataFrame(gaps, "lo long, hi long, into int")
-    over = F.col("place") >= F.col("share")
-    k = F.when(over, F.col("place") - F.col("share") + F.col("first"))
-    # at most ``shards`` rows each
-    spread = ranked.join(F.broadcast(begins), F.col("shard") == F.col("f_")).withColumn("k", k)
-    return spread.join(F.broadcast(into), F.col("k").between(F.col("lo"), F.col("hi") - 1), "left").select(
-        "node", F.coalesce("into", "shard").alias("shard")
-    )
+    k = F.col("place") - F.col("share") + F.col("first")
+    # at most ``shards`` rows, and as many entries in the two lists
+    spread = ranked.join(F.broadcast(begins), F.col("shard") == F.col("f_"))
+    if not gaps:
+        return spread.select("node", "shard")
+    starts, targets = (F.lit(list(x)) for x in zip(*gaps, strict=True))
+    into = F.element_at(targets, F.size(F.filter(starts, lambda start: start <= k)))
+    return spread.select("node", F.when(F.col("place") >= F.col("share"), into).otherwise(F.col("shard")).cast("int").alias("shard"))
 
 
 def sharded(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
