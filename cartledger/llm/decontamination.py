@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 
 from cartledger.session import cut_lineage
 
+from .texts import text_key
+
 WINDOW, GRAM = 10, 5
 #: Fixed pattern of what stands between words.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -84,6 +86,11 @@ def _windows(own: Column, n: int) -> Column:
 
 def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256 and contaminated of every document."""
+    return judged(docs, items).drop("body", "body2")
+
+
+def judged(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """As ``decontaminated``, with the key of each row's text."""
     items = cut_lineage(items.select("item_id", words(F.col("text")).alias("own")).where(F.size("own") > 0))
     lengths = sorted(r[0] for r in items.where(F.size("own") < WINDOW).select(F.size("own")).distinct().collect())
 
@@ -97,7 +104,7 @@ def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
         prints = part if prints is None else prints.union(part)
     prints = cut_lineage(prints.distinct())
 
-    body = [F.xxhash64(F.coalesce("text", F.lit(""))).alias("body"), F.hash(F.coalesce("text", F.lit(""))).alias("body2")]
+    body = text_key()
     made = let(_rough_words(F.col("text")), lambda w: F.struct(_count(w).cast("long").alias("n_words"), fingerprints(w, lengths).alias("prints")))
     told = docs.select("doc_id", *body, made.alias("made"))
     told = cut_lineage(told.select("doc_id", "body", "body2", "made.n_words", "made.prints"))
@@ -125,7 +132,7 @@ def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     joined = told.select("doc_id", "body", "body2", "n_words").join(hits, (F.col("body") == F.col("b")) & (F.col("body2") == F.col("b2")), "left")
     names = F.coalesce(F.col("names"), F.array().cast("array<string>"))
     return joined.select(
-        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.size(names).cast("long").alias("n_items"),
+        "doc_id", "body", "body2", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.size(names).cast("long").alias("n_items"),
         F.sha2(F.array_join(names, ",").cast("binary"), 256).alias("items_sha256"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
     )

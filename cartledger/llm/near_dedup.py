@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from cartledger.session import cut_lineage
 
-from .texts import Words, gram_hashes, lowered, mix, ranges, slices, text_buffer
+from .texts import Words, gram_hashes, lowered, mix, ranges, slices, text_buffer, text_key
 
 SHINGLE = 5
 #: Link from this percentage of the union on.
@@ -46,7 +46,7 @@ _FACTORS = _RANDOM.integers(0, 1 << 63, MINIMA, dtype=np.uint64) * np.uint64(2)
 _SHIFTS = _RANDOM.integers(0, 1 << 63, MINIMA, dtype=np.uint64)
 _SHORT = np.uint64(0x5851F42D4C957F2D)
 
-SIGNED = "doc_id long, n_shingles long, node long, bands array<long>, signature binary"
+SIGNED = "doc_id long, body long, body2 int, n_shingles long, node long, bands array<long>, signature binary"
 
 
 def _sets(data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
@@ -104,11 +104,11 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ends = np.cumsum([0] + [len(b) for b in bands])
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
+                    *[part.column(c) for c in ("doc_id", "body", "body2")], pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(bands))),
                     pa.array(signatures, pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "node", "bands", "signature"],
+                names=["doc_id", "body", "body2", "n_shingles", "node", "bands", "signature"],
             )
 
 
@@ -124,7 +124,7 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def signed(docs: DataFrame) -> DataFrame:
     """Set size, class, bands and signature of every whole text."""
-    return docs.select("doc_id", "text").mapInArrow(_sign, SIGNED)
+    return docs.select("doc_id", *text_key(), "text").mapInArrow(_sign, SIGNED)
 
 
 @F.pandas_udf(T.IntegerType())
@@ -283,6 +283,21 @@ def _across(marked: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id linked, itself included) and kept."""
+    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return grouped(docs).select(
+        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+    )
+
+
+def survivors(docs: DataFrame) -> DataFrame:
+    """doc_id and text key of one row of each group, that of the smallest doc_id, and of each row without words."""
+    alone = F.when(F.col("n_shingles") == 0, F.struct("doc_id", "body", "body2"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "body", "body2")).alias("least")
+    return grouped(docs).groupBy("component", alone.alias("alone")).agg(least).select("least.doc_id", "least.body", "least.body2")
+
+
+def grouped(docs: DataFrame) -> DataFrame:
+    """doc_id, text key and n_shingles of every row, the component of its class and its smallest doc_id; null without words."""
     sign = cut_lineage(signed(docs))
     classes = sign.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("speaker"))
     members = cut_lineage(classes)
@@ -315,9 +330,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # components in terms of documents: the smallest speaker of the linked classes
     of_class = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = of_class.groupBy("component").agg(F.min("speaker").alias("component_id"))
-    ids = cut_lineage(of_class.join(names, "component").select(F.col("node").alias("of"), "component_id"))
-    joined = sign.select("doc_id", "n_shingles", "node").join(ids, F.col("node") == F.col("of"), "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return joined.select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
-    )
+    ids = cut_lineage(of_class.join(names, "component").select(F.col("node").alias("of"), "component", "component_id"))
+    return (
+        sign.select("doc_id", "body", "body2", "n_shingles", "node").join(ids, F.col("node") == F.col("of"), "left")
+        .select("doc_id", "body", "body2", "n_shingles", "component", "component_id")
+    )

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from cartledger.session import cut_lineage
 
-from .texts import Words, gram_hashes, slices, text_buffer
+from .texts import Words, gram_hashes, slices, text_buffer, text_key
 
 #: Smallest number of documents for which a sketch sets limits of its own.
 OWN_SKETCH_ROWS = 100
@@ -33,8 +33,9 @@ SLACK = {"symbol_rate": 150, "dup_line_rate": 500, "repeat_rate": 400, "word_len
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 REPEAT_WINDOW = 3
 
+OWN = ("doc_id", "lang", "source", "body", "body2")
 MEASURED = (
-    "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long,"
+    "doc_id long, lang string, source string, body long, body2 int, n_words long, word_chars long, n_symbols long,"
     " n_lines long, n_dup_lines long, n_repeat_words long"
 )
 _SYMBOL = np.zeros(256, bool)
@@ -95,15 +96,15 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 _repeated(words).astype(np.int64),
             ]
             yield pa.RecordBatch.from_arrays(
-                [part.column(c) for c in ("doc_id", "lang", "source")] + [pa.array(c) for c in columns],
-                names=["doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_lines",
+                [part.column(c) for c in OWN] + [pa.array(c) for c in columns],
+                names=[*OWN, "n_words", "word_chars", "n_symbols", "n_lines",
                        "n_dup_lines", "n_repeat_words"],
             )
 
 
 def measure(docs: DataFrame) -> DataFrame:
     """Counts of every whole text: words, their characters, symbols, repeated lines and words."""
-    return docs.select("doc_id", "lang", "source", "text").mapInArrow(_measure, MEASURED)
+    return docs.select("doc_id", "lang", "source", *text_key(), "text").mapInArrow(_measure, MEASURED)
 
 
 def rates() -> dict[str, Column]:
@@ -179,6 +180,11 @@ def limits(bins: DataFrame) -> DataFrame:
 
 def quality_rules(docs: DataFrame) -> DataFrame:
     """Every document with its counts, ``base_failed`` and ``kept``."""
+    return judged(docs).drop("lang", "source", "body", "body2")
+
+
+def judged(docs: DataFrame) -> DataFrame:
+    """As ``quality_rules``, with all that the decision on a row depends on: lang, source and the key of its text."""
     measured = cut_lineage(measure(docs))
     found = cut_lineage(limits(sketch(measured))).withColumnsRenamed({"lang": "l", "source": "s"})
     fine = F.lit(True)
@@ -187,7 +193,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     return measured.join(
         found, F.col("lang").eqNullSafe(F.col("l")) & F.col("source").eqNullSafe(F.col("s")), "left"
     ).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        *OWN, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base_failed().alias("base_failed"),
         (~base_failed() & F.coalesce(fine, F.lit(True))).alias("kept"),
     )

@@ -10,30 +10,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartledger.llm import decontamination, mixing, near_dedup, quality, sharding
+from cartledger.llm.texts import text_key
 from cartledger.session import work_dir
 from checks.harness import shared_folder
 
 
-def _only(docs: DataFrame, judged: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is among those of ``judged``; null is an id like any other."""
-    ids = judged.select(F.col("doc_id").alias("id_")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["id_"]), "left_semi")
+def _only(docs: DataFrame, judged: DataFrame, *also: str) -> DataFrame:
+    """Rows of ``docs`` whose doc_id, text and ``also`` columns are among those of ``judged``; null is a value like any other."""
+    keys = ["doc_id", *also]
+    ids = judged.select(*[F.col(k).alias(f"{k}_") for k in keys], "body", "body2").distinct()
+    body, body2 = text_key()
+    on = (body == ids["body"]) & (body2 == ids["body2"])
+    for k in keys:
+        on = on & docs[k].eqNullSafe(ids[f"{k}_"])
+    return docs.join(ids, on, "left_semi")
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
-    return _only(docs, quality.quality_rules(docs).where("kept"))
+    return _only(docs, quality.judged(docs).where("kept"), "lang", "source")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, and one row of it."""
-    return _only(docs, near_dedup.near_duplicates(docs).where("kept")).dropDuplicates(["doc_id"])
+    """One document of each group of near copies, and one row of it: repeats have equal id and text."""
+    return _only(docs, near_dedup.survivors(docs)).dropDuplicates(["doc_id", "text"])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _only(docs, decontamination.decontaminated(docs, items).where("not contaminated"))
+    return _only(docs, decontamination.judged(docs, items).where("not contaminated"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
