@@ -339,25 +339,27 @@ def price_spread(items: DataFrame, offers: DataFrame) -> DataFrame:
     )
 
 
-def provenance(items: DataFrame, gold: DataFrame, shown: int = V.CITED_PRICE_IDS) -> DataFrame:
+def provenance(items: DataFrame, gold: DataFrame, shown: int | None = V.CITED_PRICE_IDS) -> DataFrame:
     """Per basket: latest ad week, how many gold price rows stand behind it, and
-    the first ``shown`` of their ids.
+    the first ``shown`` of their ids; None gives every id, once each.
 
     A gold row belongs to one product, so counts add up over products and the
     first ids of a basket are among the first ids of its products; lists stay at
     ``shown`` entries. :func:`provenance_rows` gives every id.
     """
-    ids = first_ids(gold, "canonical_id", "price_id", shown)
     facts = gold.groupBy("canonical_id").agg(
         F.max("ad_week").alias("ad_week"), F.count("price_id").alias("n_ids")
     )
-    lines = items.select("basket_id", "canonical_id").join(
-        facts.join(ids, "canonical_id", "left"), "canonical_id", "left"
-    )
+    if shown is not None:
+        facts = facts.join(first_ids(gold, "canonical_id", "price_id", shown), "canonical_id", "left")
+    lines = items.select("basket_id", "canonical_id").join(facts, "canonical_id", "left")
     totals = lines.groupBy("basket_id").agg(
         F.max("ad_week").alias("ad_week"),
         F.coalesce(F.sum("n_ids"), F.lit(0)).alias("n_price_ids"),
     )
+    if shown is None:
+        ids = F.sort_array(F.collect_set("price_id")).alias("price_ids")
+        return totals.join(provenance_rows(items, gold).groupBy("basket_id").agg(ids), "basket_id", "left")
     cited = lines.select("basket_id", F.explode("price_ids").alias("price_id"))
     return totals.join(first_ids(cited, "basket_id", "price_id", shown), "basket_id", "left")
 

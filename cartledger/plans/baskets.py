@@ -33,6 +33,14 @@ class BasketTables:
     def provenance(self) -> DataFrame:
         return B.provenance(self.items, self.gold)
 
+    @property
+    def whole_provenance(self) -> DataFrame:
+        return B.provenance(self.items, self.gold, shown=None)
+
+    @property
+    def provenance_rows(self) -> DataFrame:
+        return B.provenance_rows(self.items, self.gold)
+
 
 def basket_tables(items: DataFrame, gold: DataFrame) -> BasketTables:
     """Write gold prices, basket lines, offers and the basket sheet to the shared

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -164,12 +165,26 @@ def optimize(lists: DataFrame, tables: Tables, basket_id: int = 1) -> Tables:
     }
 
 
-def fact_packs(tables: Tables) -> DataFrame:
+def fact_packs(tables: Tables) -> tuple[DataFrame, DataFrame]:
+    """Packs that hold every price id, and the same price rows as a table keyed by basket_id."""
     gold = current_gold(tables).withColumn("price_id", F.col("price_id").cast("string"))
     t = basket_tables(tables["basket_items"], gold)
-    return N.fact_pack(t.ranking, t.missing, t.verdict, tables["sources"], t.provenance)
+    return N.fact_pack(t.ranking, t.missing, t.verdict, tables["sources"], t.whole_provenance), t.provenance_rows
 
 
-def narrate(tables: Tables, write: Callable[[str], str], model: str | None = None):
-    """(accepted, rejected) summaries of every basket."""
-    return N.gate(state_written(N.write_summaries(fact_packs(tables), write)), model)
+@dataclass(frozen=True)
+class Narrated:
+    """Summaries of every basket, and every price row behind them by basket_id; unpacks to the summaries."""
+
+    accepted: DataFrame
+    rejected: DataFrame
+    provenance_rows: DataFrame
+
+    def __iter__(self) -> Iterator[DataFrame]:
+        return iter((self.accepted, self.rejected))
+
+
+def narrate(tables: Tables, write: Callable[[str], str], model: str | None = None) -> Narrated:
+    """(accepted, rejected) summaries of every basket, with their price rows beside them."""
+    packs, rows = fact_packs(tables)
+    return Narrated(*N.gate(state_written(N.write_summaries(packs, write)), model), rows)

@@ -106,6 +106,15 @@ def test_narrate(demo):
         assert good.count() == 0 and bad.count() == 1
 
 
+def test_narrate_keeps_every_price_id(demo):
+    out = jobs.narrate(demo, lambda pack: "Fine." if "_provenance" not in pack else "", "stub")
+    stored = out.accepted.first()
+    ids = json.loads(stored.facts)["_provenance"]["price_ids"]
+    assert len(ids) == len(set(ids)) == 100
+    assert sorted(r.price_id for r in out.provenance_rows.filter(f"basket_id = {stored.basket_id}").collect()) == ids
+    assert stored.citations.count(",") == 19 and stored.citations.endswith("…)")
+
+
 def test_optimize_job_finds_the_demo_basket(spark, demo):
     out = jobs.optimize(shopping_list(spark), demo)
     assert out["missing_terms"].count() == 0
