@@ -155,10 +155,15 @@ def _alike(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     )
 
 
+def _row():
+    """Key of a row by id and text, null ids included; rows that share one are told apart by their class."""
+    return F.xxhash64("doc_id", "body", "body2")
+
+
 def _sets_of(wanted: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """(node, shingles) of the wanted classes; their texts are read again."""
-    speakers = classes.join(wanted, "node", "left_semi").select(F.col("speaker").alias("doc_id")).distinct()
-    texts = docs.select("doc_id", "text").join(speakers, "doc_id", "left_semi")
+    speakers = classes.join(wanted, "node", "left_semi").select("speaker").distinct()
+    texts = docs.select("doc_id", *text_key(), "text").select(_row().alias("speaker"), "text").join(speakers, "speaker", "left_semi")
     sets = texts.mapInArrow(_full_sets, "node long, shingles binary").dropDuplicates(["node"])
     return cut_lineage(sets.join(wanted, "node", "left_semi"))
 
@@ -299,15 +304,13 @@ def survivors(docs: DataFrame) -> DataFrame:
 def grouped(docs: DataFrame) -> DataFrame:
     """doc_id, text key and n_shingles of every row, the component of its class and its smallest doc_id; null without words."""
     sign = cut_lineage(signed(docs))
-    classes = sign.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("speaker"))
-    members = cut_lineage(classes)
-    named = members.where("speaker is not null")
+    members = cut_lineage(sign.where("n_shingles > 0").groupBy("node").agg(F.min(_row()).alias("speaker"), F.min("doc_id").alias("name")))
     # one row for each class: that of its speaker
-    own = F.struct("doc_id", "node").alias("own")
+    own = F.struct(_row().alias("speaker"), "node").alias("own")
     classes = cut_lineage(
         sign.select(own, "n_shingles", "bands", "signature")
-        .join(named.select(F.struct(F.col("speaker").alias("doc_id"), "node").alias("own")), "own", "left_semi")
-        .select("own.node", F.col("own.doc_id").alias("speaker"), "n_shingles", "bands", "signature")
+        .join(members.select(F.struct("speaker", "node").alias("own")), "own", "left_semi")
+        .select("own.node", "own.speaker", "n_shingles", "bands", "signature")
         .dropDuplicates(["node"])
     )
     keys = classes.select("node", F.posexplode("bands").alias("band", "key"))
@@ -327,9 +330,9 @@ def grouped(docs: DataFrame) -> DataFrame:
     if not more.isEmpty():
         found = cut_lineage(components(links.union(more)))
 
-    # components in terms of documents: the smallest speaker of the linked classes
+    # components in terms of documents: the smallest id of the linked classes
     of_class = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    names = of_class.groupBy("component").agg(F.min("speaker").alias("component_id"))
+    names = of_class.groupBy("component").agg(F.min("name").alias("component_id"))
     ids = cut_lineage(of_class.join(names, "component").select(F.col("node").alias("of"), "component", "component_id"))
     return (
         sign.select("doc_id", "body", "body2", "n_shingles", "node").join(ids, F.col("node") == F.col("of"), "left")

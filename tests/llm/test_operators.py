@@ -120,6 +120,20 @@ def test_near_duplicates(docs, none):
     assert near_dedup.near_duplicates(none).isEmpty()
 
 
+def test_near_duplicates_compare_rows_of_null_ids(spark):
+    """Near copies whose ids are all null are linked, and bridge documents with ids."""
+    base = prose(200, 91)
+    changed = lambda text, first: " ".join(f"new{i}" if i % 50 == first else w for i, w in enumerate(text.split()))
+    bridge = changed(base, 10)
+    far = changed(bridge, 35)
+    table = [(1, base), (None, bridge), (2, far), (None, prose(80, 92)), (None, edited(prose(80, 92), 60)), (3, PASSAGE), (None, edited(PASSAGE, 60))]
+    want = brute_groups(table)
+    assert want[2][2] == 1 and brute_groups([table[0], table[2]])[1][2] == 2
+    got = near_dedup.near_duplicates(spark.createDataFrame(table, "doc_id long, text string"))
+    assert collected(got) == sorted(want, key=repr)
+    assert near_dedup.survivors(spark.createDataFrame(table, "doc_id long, text string")).count() == 3
+
+
 def test_near_duplicates_of_one_template(spark):
     """Many copies with edits of their own: links near the threshold, found without all pairs."""
     words_ = prose(120, 77).split()
