@@ -43,8 +43,8 @@ def words(text: Column) -> Column:
 
 
 def _rough_words(text: Column) -> Column:
-    """As ``words`` for the search for candidates: lower case in all scripts, which only makes more meet."""
-    return F.split(F.lower(F.coalesce(text, F.lit(""))), BETWEEN)
+    """As ``words`` for the search for candidates, with the empty words that may stand at the ends."""
+    return F.split(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), BETWEEN)
 
 
 def _count(rough: Column) -> Column:
@@ -97,9 +97,8 @@ def judged(docs: DataFrame, items: DataFrame) -> DataFrame:
     # of an item with a window: its window minima; of a shorter one: its gram
     prints = None
     for n, part in [(None, items.where(F.size("own") >= WINDOW)), *((n, items.where(F.size("own") == n)) for n in lengths)]:
-        rough = F.transform("own", lambda w: F.lower(w))
         # a short item's first gram of its own length is all of it
-        made = fingerprints(rough, []) if n is None else _whole(rough, n)
+        made = fingerprints(F.col("own"), []) if n is None else _whole(F.col("own"), n)
         part = part.select(F.explode(made).alias("print"))
         prints = part if prints is None else prints.union(part)
     prints = cut_lineage(prints.distinct())

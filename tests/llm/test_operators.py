@@ -315,3 +315,13 @@ def test_sharding(spark, docs, none):
     out = sharding.sharded(docs)
     assert out.count() == len(rows()) and out.where("shard is null or slot is null or size < 8").isEmpty()
     assert sharding.sharded(none).isEmpty()
+
+
+def test_decontamination_of_greek_capitals_without_blanks(spark):
+    """A capital sigma ends every word; lower case would depend on what follows."""
+    letters = "ΑΒΓΔΕΖΗΘΙΚΛΜ"
+    item = [f"ΟΔ{a}Σ" for a in letters]
+    texts = spark.createDataFrame([(1, ".".join(["ΑΒΓ", *item, "ΑΒΓ"])), (2, "'".join(item)), (3, ":".join(item[:9]))], "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(item)), (2, "ΩΣ")], "item_id long, text string")
+    got = {r.doc_id: (r.n_hit, r.contaminated) for r in decontamination.decontaminated(texts, items).collect()}
+    assert got == {1: (12, True), 2: (12, True), 3: (0, False)}
