@@ -9,6 +9,7 @@ from . import (
     language,
     mixing,
     near_dedup,
+    periodic,
     quality,
     sharding,
     substring_dedup,
@@ -30,7 +31,6 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
@@ -63,7 +63,12 @@ def op10_label_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(table(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_digests(table(spark, sf_dir, "documents"))
+
+
 ALL = {f.__name__: f for f in (
     op1_quality_rules, op2_minhash_near_dedup, op3_source_mixing, op4_warc_zstd, op5_toxicity_fm,
     op6_substring_fm, op7_decontamination, op8_url_filter, op9_language_id, op10_label_sharding,
+    op13_periodic_runs,
 )}

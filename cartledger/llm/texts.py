@@ -98,6 +98,16 @@ class Words:
         self.first = np.searchsorted(self.starts, offsets)
         self.counts = np.diff(self.first)
 
+    def array(self) -> pa.Array:
+        """All words, byte for byte."""
+        inside = np.zeros(len(self.data) + 1, np.int8)
+        inside[self.starts] += 1
+        inside[self.ends] -= 1
+        held = self.data[np.cumsum(inside[:-1], dtype=np.int8).astype(bool)]
+        offsets = np.zeros(len(self.starts) + 1, np.int64)
+        np.cumsum(self.ends - self.starts, out=offsets[1:])
+        return pa.Array.from_buffers(pa.large_binary(), len(self.starts), [None, pa.py_buffer(offsets), pa.py_buffer(held)])
+
     @property
     def hashes(self) -> np.ndarray:
         total = np.zeros(len(self.data) + 1, np.uint64)
