@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
+    collocations,
     decontamination,
     language,
     mixing,
@@ -63,6 +64,10 @@ def op10_label_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(table(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.run_digests(table(spark, sf_dir, "documents"))
 
@@ -70,5 +75,5 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 ALL = {f.__name__: f for f in (
     op1_quality_rules, op2_minhash_near_dedup, op3_source_mixing, op4_warc_zstd, op5_toxicity_fm,
     op6_substring_fm, op7_decontamination, op8_url_filter, op9_language_id, op10_label_sharding,
-    op13_periodic_runs,
+    op12_collocations, op13_periodic_runs,
 )}

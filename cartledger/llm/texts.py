@@ -81,11 +81,12 @@ class Words:
     """Words ``[^\\x20\\x09-\\x0D]+`` of the texts of one slice.
 
     ``starts`` and ``ends`` are byte places, ``first`` the index of each text's first word
-    (texts + 1 entries), ``hashes`` one 64-bit hash for each word.
+    (texts + 1 entries), ``hashes`` one 64-bit hash for each word. ``blank`` marks other bytes that part words.
     """
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        blank = (data == 32) | ((data >= 9) & (data <= 13))
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, blank: np.ndarray | None = None):
+        if blank is None:
+            blank = (data == 32) | ((data >= 9) & (data <= 13))
         edge = np.zeros(len(data) + 1, bool)
         edge[offsets] = True
         before = edge[:-1].copy()

@@ -59,9 +59,32 @@ best AS (SELECT page_id, arg_max(r.host || r.path, length(r.host || r.path)) AS
   FROM h JOIN r ON (h.host = r.host OR ends_with(h.host, '.' || r.host)) AND starts_with(h.path, r.path) GROUP BY page_id)
 SELECT h.page_id, h.host, h.path, best.rule, coalesce(best.verdict, 'allow') AS verdict FROM h LEFT JOIN best USING (page_id)"""
 
+_PHRASES = rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({LOW}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, row_number() OVER () AS piece, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+o AS (SELECT lang, piece, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM w),
+seq AS (SELECT lang, x, lead(x) OVER p AS y, lead(x, 2) OVER p AS z FROM o WINDOW p AS (PARTITION BY piece ORDER BY i)),
+g AS (SELECT lang, 1 AS k, x AS phrase, count(*) AS f FROM seq GROUP BY ALL
+  UNION ALL SELECT lang, 2, x || ' ' || y, count(*) FROM seq WHERE y IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT lang, 3, x || ' ' || y || ' ' || z, count(*) FROM seq WHERE z IS NOT NULL GROUP BY ALL),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM g WHERE k >= 2 AND f >= 10),
+cuts AS (SELECT lang, c.k, phrase, w, c.f AS a, j, array_to_string(w[1:j], ' ') AS x, array_to_string(w[j + 1:c.k], ' ') AS y
+  FROM c, (VALUES (1), (2)) AS t(j) WHERE j < c.k),
+scored AS (SELECT cuts.*, x.f AS l, y.f AS r, (1000000::HUGEINT * a * a // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts JOIN g x ON x.lang = cuts.lang AND x.phrase = cuts.x AND x.k = j
+    JOIN g y ON y.lang = cuts.lang AND y.phrase = cuts.y AND y.k = cuts.k - j),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inside AS (SELECT lang, array_to_string(w[i:i + 1], ' ') AS phrase, max(f) AS most FROM c, (VALUES (1), (2)) AS t(i) WHERE k = 3 GROUP BY ALL),
+left_ AS (SELECT best.* FROM best LEFT JOIN inside ON best.lang = inside.lang AND best.phrase = inside.phrase AND best.k = 2
+  WHERE NOT coalesce(100 * most >= 50 * a, false)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM left_)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000"""
+
 ORACLE: dict[str, str] = {
     "op2_minhash_near_dedup": _NEAR,
     "op6_substring_fm": _REMOVED,
     "op7_decontamination": _CLEAN,
     "op8_url_filter": _URLS,
+    "op12_collocations": _PHRASES,
 }
