@@ -37,14 +37,26 @@ def work_dir(spark: SparkSession) -> str:
     return folder
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     Iterative operators call this once per round. The written table survives
     the loss of executors, keeps plans short, and carries the size statistics
-    that decide later join strategies.
+    that decide later join strategies. It stays until :func:`release`.
     """
     spark = df.sparkSession
     path = os.path.join(work_dir(spark), f"cut-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete the files of tables that :func:`cut_lineage` wrote, once nothing reads them any more:
+    all that was derived from them must have been written. Other DataFrames are left alone."""
+    for table in tables:
+        spark = table.sparkSession
+        folders = {os.path.dirname(f) for f in table.inputFiles()}
+        for folder in folders:
+            if os.path.basename(folder).startswith("cut-") and len(folders) == 1:
+                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
