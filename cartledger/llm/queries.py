@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import (
     collocations,
     decontamination,
+    exact_dedup,
     language,
     mixing,
     near_dedup,
@@ -64,6 +65,10 @@ def op10_label_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(table(spark, sf_dir, "documents"))
 
 
+def op11_extendible_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -75,5 +80,5 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 ALL = {f.__name__: f for f in (
     op1_quality_rules, op2_minhash_near_dedup, op3_source_mixing, op4_warc_zstd, op5_toxicity_fm,
     op6_substring_fm, op7_decontamination, op8_url_filter, op9_language_id, op10_label_sharding,
-    op12_collocations, op13_periodic_runs,
+    op11_extendible_dedup, op12_collocations, op13_periodic_runs,
 )}

@@ -59,6 +59,11 @@ best AS (SELECT page_id, arg_max(r.host || r.path, length(r.host || r.path)) AS
   FROM h JOIN r ON (h.host = r.host OR ends_with(h.host, '.' || r.host)) AND starts_with(h.path, r.path) GROUP BY page_id)
 SELECT h.page_id, h.host, h.path, best.rule, coalesce(best.verdict, 'allow') AS verdict FROM h LEFT JOIN best USING (page_id)"""
 
+_COPIES = f"""
+WITH d AS (SELECT doc_id, coalesce({LOW}, '') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+  doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256 FROM d"""
+
 _PHRASES = rf"""
 WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({LOW}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
 w AS (SELECT lang, row_number() OVER () AS piece, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
@@ -86,5 +91,6 @@ ORACLE: dict[str, str] = {
     "op6_substring_fm": _REMOVED,
     "op7_decontamination": _CLEAN,
     "op8_url_filter": _URLS,
+    "op11_extendible_dedup": _COPIES,
     "op12_collocations": _PHRASES,
 }
