@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartledger.session import cut_lineage
+from cartledger.session import cut_lineage, release
 
 from .texts import Words, lowered, slices, text_buffer
 
@@ -138,8 +138,8 @@ def frequent_phrases(docs: DataFrame, longest: int = LONGEST, min_count: int = M
 
     Phrases: gid, lang, phrase, last_word, f, ``heads`` and ``tails`` (counts of its first, and last, 1, 2, ... words), and for
     two words or more ``first`` and ``last``, the gids of all words but the last, and but the first."""
-    relation = cut_lineage(docs.select("lang", "text").mapInArrow(_occurrences, OCCURRENCES))
-    groups = relation.select("block", F.posexplode(F.arrays_zip("lang", "word", "n")).alias("local", "g"))
+    table = cut_lineage(docs.select("lang", "text").mapInArrow(_occurrences, OCCURRENCES), "zstd")
+    groups = table.select("block", F.posexplode(F.arrays_zip("lang", "word", "n")).alias("local", "g"))
     groups = groups.select("block", "local", "g.lang", "g.word", "g.n")
     totals = cut_lineage(groups.groupBy("lang").agg(F.sum("n").alias("total")))
     known = _frequent(groups, ["lang", "word"], min_count)
@@ -147,10 +147,12 @@ def frequent_phrases(docs: DataFrame, longest: int = LONGEST, min_count: int = M
     counts = F.array("f")
     phrases = [known.select("gid", "lang", F.col("word").alias("phrase"), F.col("word").alias("last_word"), "f",
                             counts.alias("heads"), counts.alias("tails"))]
-    relation = relation.select("block", "codes")
+    relation = table.select("block", "codes")
     for k in range(2, longest + 1):
         joined = relation.groupBy("block").cogroup(passed.groupBy("of")).applyInArrow(_extended(k < longest), GROUPS)
-        joined = cut_lineage(joined)
+        joined = cut_lineage(joined, "zstd")
+        release(table)
+        table = joined
         groups = joined.where("codes is null").drop("codes")
         known = _frequent(groups, ["first", "last"], min_count)
         if k < longest:
@@ -163,6 +165,7 @@ def frequent_phrases(docs: DataFrame, longest: int = LONGEST, min_count: int = M
             F.array_append("heads", F.col("f")).alias("heads"), F.array_append("tails", F.col("f")).alias("tails"), "first", "last",
         )
         phrases.append(cut_lineage(grown))
+    release(table)
     return phrases, totals
 
 
