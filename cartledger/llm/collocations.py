@@ -196,8 +196,12 @@ def collocations(docs: DataFrame, longest: int = LONGEST, min_count: int = MIN_C
             dropped = 100 * F.col("most") >= INSIDE_PERCENT * F.col("a")
             scored = scored.join(inside, "gid", "left").where(~F.coalesce(dropped, F.lit(False))).drop("most")
         found = scored if found is None else found.unionByName(scored)
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= reported)
+    # first among a share of a language's phrases, then among the best of all shares: no task sorts a whole language
+    shares = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = F.desc("score"), F.desc("a"), "phrase"
+    ranked = found.withColumn("share", F.pmod(F.xxhash64("gid", "phrase"), F.lit(shares)))
+    for by in (["lang", "share"], ["lang"]):
+        ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("rank") <= reported)
     return ranked.join(totals, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", F.col("total").alias("n"), "score"
     )
