@@ -74,8 +74,9 @@ def upsert_source_products(
     )
 
 
-def source_product_table(state: DataFrame) -> DataFrame:
-    """Readable rows of the upsert state, with a content-derived id."""
+def source_product_table(state: DataFrame, *arrival: str) -> DataFrame:
+    """Readable rows of the upsert state, with a content-derived id, and the named parts of the arrival key of the first
+    sighting."""
     key = F.concat_ws("\u0001", "source", F.coalesce("source_sku", F.concat(F.lit("\u0002"), "lone_key")))
     return state.select(
         F.xxhash64(key).alias("source_product_id"),
@@ -86,6 +87,7 @@ def source_product_table(state: DataFrame) -> DataFrame:
         *[F.col(f"{c}.value").alias(c) for c in FIRST_KNOWN],
         "first_seen_at",
         "last_seen_at",
+        *[F.col(f"first_row.at.{c}").alias(c) for c in arrival],
     )
 
 

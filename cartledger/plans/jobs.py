@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as V
@@ -16,6 +16,8 @@ from ..operators import review, state, terms
 from ..operators.gold import cross_store_items, gold_current_prices
 from ..schemas import conform
 from ..session import cut_lineage
+from ..sources.artifacts import mark_parsed
+from ..sources.catalogs import unreadable
 from ..streaming.ingest import parse_artifacts, prices_of, sightings, waiting
 from . import narration as N
 from .baskets import basket_tables
@@ -23,29 +25,37 @@ from .baskets import basket_tables
 Tables = dict[str, DataFrame]
 
 
-def normalize(artifacts: DataFrame, tables: Tables) -> Tables:
+def normalize(artifacts: DataFrame, tables: Tables, now: Column | None = None) -> Tables:
     """Payloads to resolved products and prices: parse, fold sightings, fill
-    categories, undo cross-category links, resolve what is unlinked.
+    categories, undo cross-category links, resolve what is unlinked in the order it arrived.
 
-    Only pending artifacts are taken. Stored products stay: what is seen again takes
+    Only pending artifacts are taken; the manifest of all comes back with what was parsed or could not be read.
+    Stored products stay: what is seen again takes
     its new name and size, and keeps its first sighting, brand, known categories and
-    links. A price row that is stored already is not added again."""
-    records = parse_artifacts(waiting(artifacts))
-    seen = conform(state.source_product_table(sightings(records)), "source_products")
+    links. A price row that is stored already is not added again. New links and queue rows are stamped ``now``."""
+    now = F.current_timestamp() if now is None else now
+    taken = waiting(artifacts)
+    records = parse_artifacts(taken)
+    seen = state.source_product_table(sightings(records), "manifest_id", "line")
+    lines = seen.select("source_product_id", "line")
+    seen = conform(seen.withColumnRenamed("manifest_id", "bronze_manifest_id").drop("line"), "source_products")
     products = with_stored(seen, tables["source_products"])
     products, canonical = state.backfill_categories(
         products, tables["canonical_products"], coarse_category
     )
-    products = state.sever_cross_category(products, canonical).drop("severed")
-    todo = products.filter("canonical_id IS NULL").select(
-        F.col("source_product_id").alias("product_id"), "raw_name", "category_hint", "coarse_category"
+    products = cut_lineage(state.sever_cross_category(products, canonical).drop("severed"))
+    todo = products.filter("canonical_id IS NULL").join(lines, "source_product_id", "left")
+    todo = R.numbered(todo, ["first_seen_at", "bronze_manifest_id", "line", "source_product_id"]).select(
+        "product_id", "source_product_id", "raw_name", "category_hint", "coarse_category"
     )
     outcome = R.resolve_products(todo, canonical.select("canonical_id", "name", "coarse_category"))
-    new = conform(R.new_canonicals(outcome, todo), "canonical_products")
+    outcome = cut_lineage(R.named(outcome, todo, "source_product_id"))
+    own = todo.drop("product_id").withColumnRenamed("source_product_id", "product_id")
+    new = conform(R.new_canonicals(outcome, own).withColumn("created_at", now), "canonical_products")
     resolved = R.apply_resolution(
-        products.withColumnRenamed("source_product_id", "product_id"), outcome
+        products.withColumnRenamed("source_product_id", "product_id"), outcome, now
     ).withColumnRenamed("product_id", "source_product_id")
-    queued = R.queued_pairs(outcome, tables["resolution_queue"]).withColumn(
+    queued = R.queued_pairs(outcome, tables["resolution_queue"], now).withColumn(
         "queue_id", F.xxhash64("source_product_id", "candidate_canonical_id")
     )
     return {
@@ -56,9 +66,18 @@ def normalize(artifacts: DataFrame, tables: Tables) -> Tables:
             conform(prices_of(records), "prices").join(tables["prices"].select("price_id"), "price_id", "left_anti")
             .select(*tables["prices"].columns)
         ),
+        "bronze_manifest": manifest_after(artifacts, taken),
     }
 
 
+def manifest_after(artifacts: DataFrame, taken: DataFrame) -> DataFrame:
+    """The manifest of some artifacts after ``taken`` were parsed."""
+    manifest = conform(artifacts, "bronze_manifest").withColumn("parse_status", F.coalesce("parse_status", F.lit("pending")))
+    failed = unreadable(taken.filter("source <> 'aldi_kcl'"))
+    parsed = taken.join(failed.select("manifest_id"), "manifest_id", "left_anti")
+    return conform(mark_parsed(manifest, parsed, failed).drop("payload"), "bronze_manifest")
+
+
 def with_stored(seen: DataFrame, stored: DataFrame) -> DataFrame:
     """Products of a run folded into the stored ones."""
     new = F.col("n.source_product_id").isNotNull()

@@ -4,9 +4,12 @@ The stream reads files of artifacts (manifest_id, source, store_id, region,
 fetched_at, payload). Each micro-batch writes its price rows and its folded
 sightings under ``batch=<id>``, replacing that folder: a batch replayed after a
 failure gives the same files, and together with the stream checkpoint every
-artifact counts once. A delivery is known by its ``manifest_id``: the same payload
-from another store, or fetched at another time, is an observation of its own. Late observations need no watermark: current prices order by
-``observed_at``, so an older row never displaces a newer one.
+artifact counts once. A delivery is known by its ``manifest_id``, which the stream keeps as keyed
+state: a second delivery within ``REMEMBERED`` of the first is dropped before its batch, without a look at
+what is stored. The watermark that ends that memory runs on the time of arrival, so late observations are never dropped:
+current prices order by ``observed_at``, and an older row never displaces a newer one.
+The same payload from another store, or fetched at another time, is an observation of its own, and
+a record is known by its place in the payload: equal records without a sku stay apart.
 """
 
 from __future__ import annotations
@@ -29,11 +32,13 @@ ARTIFACT_SCHEMA = """manifest_id bigint, source string, store_id string, region
 
 KEYS = ["manifest_id", "store_id", "region", "fetched_at"]
 ARRIVAL = ["fetched_at", "manifest_id", "line"]
+#: How long the stream knows a delivery again.
+REMEMBERED = "30 days"
 
 
-def _deals(artifacts: DataFrame, keys: list[str]) -> DataFrame:
+def _deals(artifacts: DataFrame, keys: list[str], line: str | None = None) -> DataFrame:
     pages = artifacts.withColumn("html", F.col("payload"))
-    return deal_records(parse_deals(pages, keys), keys)
+    return deal_records(parse_deals(pages, keys), keys, line=line)
 
 
 PARSERS = {
@@ -45,14 +50,13 @@ PARSERS = {
 
 
 def parse_artifacts(artifacts: DataFrame, parsers: dict = PARSERS) -> DataFrame:
-    """Price records of every known source, categories assigned. ``line`` orders
-    the records of an artifact by content, so a rerun numbers them alike."""
+    """Price records of every known source, categories assigned. ``line`` is a record's place
+    in its artifact."""
     parsed = reduce(
         DataFrame.unionByName,
-        [parse(artifacts.filter(F.col("source") == s), KEYS) for s, parse in parsers.items()],
+        [parse(artifacts.filter(F.col("source") == s), KEYS, line="line") for s, parse in parsers.items()],
     )
-    line = F.xxhash64("source_sku", "raw_name", "raw_size_text", "price", "regular_price")
-    return parsed.withColumn("line", line).withColumn(
+    return parsed.withColumn(
         "coarse_category", coarse_category(F.col("category_hint"), F.col("raw_name"))
     )
 
@@ -99,13 +103,10 @@ def _table(root: str, name: str) -> str:
 
 
 def ingest_batch(batch: DataFrame, batch_id: int, root: str) -> None:
-    """Write one micro-batch; running it again replaces its own output only."""
-    spark = batch.sparkSession
-    rows = batch.withColumn("sha", F.sha2("payload", 256)).dropDuplicates(["manifest_id"])
+    """Write one micro-batch; running it again replaces its own output only. That no delivery of an earlier batch
+    is among its rows is up to the stream's state."""
     seen = _table(root, "artifacts")
-    if batch_id > 0:
-        earlier = spark.read.parquet(seen).filter(F.col("batch") < batch_id)
-        rows = rows.join(earlier.select("manifest_id"), "manifest_id", "left_anti")
+    rows = batch.withColumn("sha", F.sha2("payload", 256)).dropDuplicates(["manifest_id"])
     rows = rows.persist()
     taken = waiting(rows)
     bad = unreadable(taken.filter("source <> 'aldi_kcl'")).select("manifest_id").withColumn(
@@ -124,15 +125,24 @@ def ingest_batch(batch: DataFrame, batch_id: int, root: str) -> None:
     rows.unpersist()
 
 
-def ingest_stream(spark: SparkSession, incoming: str, root: str, file_format: str = "json"):
-    """Ingest every file not ingested yet, then stop (``availableNow``)."""
+def ingest_stream(
+    spark: SparkSession, incoming: str, root: str, file_format: str = "json", remembered: str = REMEMBERED
+):
+    """Ingest every file not ingested yet, then stop (``availableNow``). State of ``remembered`` deliveries is
+    dealt by manifest id over the shuffle partitions of the first start."""
     files = (
         spark.readStream.format(file_format)
         .schema(" ".join(ARTIFACT_SCHEMA.split()))
         .load(incoming)
     )
+    once = (
+        files.withColumn("arrived_at", F.current_timestamp())
+        .withWatermark("arrived_at", remembered)
+        .dropDuplicatesWithinWatermark(["manifest_id"])
+        .drop("arrived_at")
+    )
     return (
-        files.writeStream.foreachBatch(lambda df, i: ingest_batch(df, i, root))
+        once.writeStream.foreachBatch(lambda df, i: ingest_batch(df, i, root))
         .option("checkpointLocation", os.path.join(root, "stream-checkpoint"))
         .trigger(availableNow=True)
         .start()

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import functions as F
 
 from cartledger import fixed_values as V
@@ -11,9 +14,11 @@ from cartledger.functions import taxonomy as T
 from cartledger.functions import text as X
 from cartledger.operators import state
 from cartledger.plans.narration import with_banner
+from cartledger.session import work_dir
 from cartledger.sources import artifacts as A
 from cartledger.sources import catalogs as C
 from cartledger.sources import pages as H
+from cartledger.streaming import ingest
 
 from .oracle import quoted
 from .registry import day, dbl, query
@@ -111,6 +116,69 @@ def _(r):
     )
 
 
+def streamed(r: Roles) -> str:
+    """Orders as artifacts, each line a product of its part (every fifth line without sku), in two deliveries
+    through the stream; the second brings a third of the first again. Some payloads can't be read."""
+    spark, root = r.spark, os.path.join(work_dir(r.spark), f"stream-{uuid.uuid4().hex}")
+    price = F.struct(F.col("p_retailprice").alias("regular"))
+    product = F.struct(
+        "l_linenumber", F.when(F.col("l_linenumber") % 5 > 0, F.col("l_partkey").cast("string")).alias("productId"),
+        F.col("p_name").alias("description"), F.array(F.struct(price.alias("price"), F.lit("1 ct").alias("size"))).alias("items"),
+    )
+    lines = r.table("lineitem").join(r.table("part"), F.col("l_partkey") == F.col("p_partkey"))
+    payload = F.to_json(F.struct(F.array_sort(F.collect_list(product)).alias("data")))
+    orders = lines.groupBy("l_orderkey").agg(payload.alias("payload")).join(
+        r.table("orders"), F.col("l_orderkey") == F.col("o_orderkey")
+    )
+    key = F.col("o_orderkey")
+    artifacts = orders.select(
+        key.alias("manifest_id"), F.lit("kroger").alias("source"), F.col("o_orderdate").cast("timestamp").alias("fetched_at"),
+        F.when(key % 50 == 7, "oops").otherwise(F.col("payload")).alias("payload"),
+    )
+    key = F.col("manifest_id")
+    for delivered in (key % 2 == 0, (key % 2 == 1) | (key % 6 == 0)):
+        artifacts.filter(delivered).write.mode("append").json(f"{root}/incoming")
+        ingest.ingest_stream(spark, f"{root}/incoming", root).awaitTermination()
+    return root
+
+
+@query(
+    "stream_manifest",
+    """SELECT o_orderkey AS manifest_id, CASE WHEN o_orderkey % 50 = 7 THEN 'failed' ELSE 'parsed' END AS parse_status,
+       CASE WHEN o_orderkey % 50 = 7 THEN 0 ELSE count(*) END AS n_prices,
+       CASE WHEN o_orderkey % 50 = 7 THEN 0 ELSE sum(p_retailprice::DECIMAL(10,2))::DOUBLE END AS total
+       FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey GROUP BY o_orderkey""",
+)
+def _(r):
+    root = streamed(r)
+    prices = ingest.ingested_prices(r.spark, root).groupBy(F.col("bronze_manifest_id").alias("manifest_id")).agg(
+        F.count("*").alias("n"), F.sum("price").cast("double").alias("sum")
+    )
+    manifest = r.spark.read.parquet(f"{root}/artifacts").select("manifest_id", "parse_status")
+    return manifest.join(prices, "manifest_id", "left").select(
+        "manifest_id", "parse_status", F.coalesce("n", F.lit(0)).alias("n_prices"), F.coalesce("sum", F.lit(0.0)).alias("total")
+    )
+
+
+@query(
+    "stream_products",
+    """SELECT source_sku, raw_name, CASE WHEN source_sku IS NULL THEN count(*) ELSE 1 END AS n_products, count(*) AS n_prices,
+       strftime(min(d), '%Y-%m-%d') AS first_seen, strftime(max(d), '%Y-%m-%d') AS last_seen FROM (
+         SELECT CASE WHEN l_linenumber % 5 > 0 THEN l_partkey::VARCHAR END AS source_sku, p_name AS raw_name, o_orderdate::DATE AS d
+         FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey WHERE o_orderkey % 50 <> 7)
+       GROUP BY source_sku, raw_name""",
+)
+def _(r):
+    root = streamed(r)
+    products = ingest.ingested_products(r.spark, root)
+    prices = ingest.ingested_prices(r.spark, root).groupBy("source_product_id").agg(F.count("*").alias("n"))
+    return products.join(prices, "source_product_id").groupBy("source_sku", "raw_name").agg(
+        F.count("*").alias("n_products"), F.sum("n").alias("n_prices"),
+        F.date_format(F.min("first_seen_at"), "yyyy-MM-dd").alias("first_seen"),
+        F.date_format(F.max("last_seen_at"), "yyyy-MM-dd").alias("last_seen"),
+    )
+
+
 @query(
     "url_policy",
     """SELECT page_id, path, reason IS NULL AS allowed, reason FROM (

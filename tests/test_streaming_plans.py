@@ -4,6 +4,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
+from cartledger import fixed_values as V
 from cartledger import schemas
 from cartledger.operators import basket as B
 from cartledger.plans import jobs
@@ -56,10 +57,54 @@ def test_a_replayed_batch_changes_nothing(spark):
     schema = " ".join(I.ARTIFACT_SCHEMA.split())
     batch = spark.read.schema(schema).json(spark.sparkContext.parallelize([json.dumps(artifact(1, 0, product("1", "Milk", 3.0)))]))
     for batch_id in (0, 1, 1):
-        I.ingest_batch(batch, batch_id, root)
+        I.ingest_batch(batch if batch_id else batch.limit(0), batch_id, root)
     assert I.ingested_prices(spark, root).count() == 1
 
 
+def test_a_delivery_is_known_again(spark):
+    """The same manifest id in a later file and twice in one file; the state outlives the query."""
+    incoming, root = tempfile.mkdtemp(), tempfile.mkdtemp()
+    one, two = artifact(1, 0, product("1", "Milk", 3.0)), artifact(2, 0, product("1", "Milk", 3.0))
+    drop(incoming, "a", one, one)
+    I.ingest_stream(spark, incoming, root).awaitTermination()
+    drop(incoming, "b", one, two)
+    I.ingest_stream(spark, incoming, root).awaitTermination()
+    assert sorted(r.bronze_manifest_id for r in I.ingested_prices(spark, root).collect()) == [1, 2]
+    assert spark.read.parquet(f"{root}/artifacts").count() == 2
+
+
+def test_equal_rows_of_a_payload_stay_apart(spark):
+    """Two equal rows without sku, and two whose prices differ by which one is null."""
+    schema = " ".join(I.ARTIFACT_SCHEMA.split())
+    lone = [product(None, "Loose Pear", 3.0), product(None, "Loose Pear", 3.0), product(None, "Plum", None)]
+    lone[2]["items"][0]["price"] = {"promo": 3.0}
+    lone.append(product(None, "Plum", 3.0))
+    artifacts = spark.read.schema(schema).json(spark.sparkContext.parallelize([json.dumps(artifact(1, 0, *lone)), json.dumps(artifact(2, 0, payload="oops"))]))
+    tables = {n: schemas.empty(spark, n) for n in schemas.DDL if n != "record"}
+    out = jobs.normalize(artifacts, tables, F.lit(AT))
+    assert out["source_products"].select("source_product_id").distinct().count() == 4
+    prices = out["prices"].collect()
+    assert len({r.price_id for r in prices}) == len({r.source_product_id for r in prices}) == 4
+    # the first of each name founds, the second is linked to it
+    methods = sorted((r.raw_name, r.match_method) for r in out["source_products"].collect())
+    assert methods == sorted([("Loose Pear", V.METHOD_FUZZY), ("Loose Pear", V.METHOD_SEED), ("Plum", V.METHOD_FUZZY), ("Plum", V.METHOD_NEW)])
+    assert {r.resolved_at for r in out["source_products"].collect()} == {AT} == {r.created_at for r in out["canonical_products"].collect()}
+    manifest = {r.manifest_id: (r.parse_status, r.parser_version) for r in out["bronze_manifest"].collect()}
+    assert manifest[1][0] == "parsed" and manifest[1][1] and manifest[2] == ("failed", None)
+
+
+def test_founders_follow_arrival(spark):
+    """Whichever product came first founds: by sighting, artifact and place, not by any hash."""
+    schema = " ".join(I.ARTIFACT_SCHEMA.split())
+    names = [f"Brand {c} Olive Oil" for c in "xyzw"]
+    rows = [artifact(9 - i, i, product(str(50 - i), names[i], 3.0), product(f"b{i}", f"{names[i]}s", 3.0)) for i in range(4)]
+    artifacts = spark.read.schema(schema).json(spark.sparkContext.parallelize([json.dumps(r) for r in rows]))
+    tables = {n: schemas.empty(spark, n) for n in schemas.DDL if n != "record"}
+    out = jobs.normalize(artifacts, tables)
+    seed = out["source_products"].filter(F.col("match_method") == V.METHOD_SEED).collect()
+    assert [r.raw_name for r in seed] == [names[0]] and out["canonical_products"].count() == 1
+
+
 def test_normalize_job(spark):
     schema = " ".join(I.ARTIFACT_SCHEMA.split())
     rows = [artifact(1, 0, product("1", "Whole Milk", 3.0)),
