@@ -339,47 +339,32 @@ def price_spread(items: DataFrame, offers: DataFrame) -> DataFrame:
     )
 
 
-def provenance(items: DataFrame, gold: DataFrame, shown: int | None = V.CITED_PRICE_IDS) -> DataFrame:
-    """Per basket: latest ad week, how many gold price rows stand behind it, and
-    the first ``shown`` of their ids; None gives every id, once each.
+def provenance(items: DataFrame, gold: DataFrame, ids: bool = True) -> DataFrame:
+    """Per basket: latest ad week, how many gold price rows stand behind it and, with ``ids``, every one of their ids in
+    order.
 
-    A gold row belongs to one product, so counts add up over products and the
-    first ids of a basket are among the first ids of its products; lists stay at
-    ``shown`` entries. :func:`provenance_rows` gives every id.
+    A gold row belongs to one product, so counts add up over a basket's products, each taken once. Gold holds current
+    prices only: a basket's ids are at most its lines times the stores. :func:`provenance_rows` gives them as rows.
     """
     facts = gold.groupBy("canonical_id").agg(
         F.max("ad_week").alias("ad_week"), F.count("price_id").alias("n_ids")
     )
-    if shown is not None:
-        facts = facts.join(first_ids(gold, "canonical_id", "price_id", shown), "canonical_id", "left")
-    lines = items.select("basket_id", "canonical_id").join(facts, "canonical_id", "left")
+    lines = items.select("basket_id", "canonical_id").distinct().join(facts, "canonical_id", "left")
     totals = lines.groupBy("basket_id").agg(
         F.max("ad_week").alias("ad_week"),
         F.coalesce(F.sum("n_ids"), F.lit(0)).alias("n_price_ids"),
     )
-    if shown is None:
-        ids = F.sort_array(F.collect_set("price_id")).alias("price_ids")
-        return totals.join(provenance_rows(items, gold).groupBy("basket_id").agg(ids), "basket_id", "left")
-    cited = lines.select("basket_id", F.explode("price_ids").alias("price_id"))
-    return totals.join(first_ids(cited, "basket_id", "price_id", shown), "basket_id", "left")
-
-
-def first_ids(df: DataFrame, key: str, value: str, shown: int) -> DataFrame:
-    """(key, smallest ``shown`` values as a sorted list)."""
-    w = Window.partitionBy(key).orderBy(value)
-    top = df.filter(F.col(value).isNotNull()).select(
-        key, value, F.row_number().over(w).alias("_n")
-    )
-    return (
-        top.filter(F.col("_n") <= shown)
-        .groupBy(key)
-        .agg(F.sort_array(F.collect_list(value)).alias(f"{value}s"))
+    if not ids:
+        return totals
+    every = provenance_rows(items, gold).groupBy("basket_id").agg(
+        F.sort_array(F.collect_list("price_id")).alias("price_ids")
     )
+    return totals.join(every, "basket_id", "left")
 
 
 def provenance_rows(items: DataFrame, gold: DataFrame) -> DataFrame:
-    """Every (basket, gold price row) pair."""
-    return items.select("basket_id", "canonical_id").join(
+    """Every (basket, gold price row) pair, once."""
+    return items.select("basket_id", "canonical_id").distinct().join(
         gold.select("canonical_id", "price_id", "ad_week"), "canonical_id"
     )
 

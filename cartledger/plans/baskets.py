@@ -34,8 +34,8 @@ class BasketTables:
         return B.provenance(self.items, self.gold)
 
     @property
-    def whole_provenance(self) -> DataFrame:
-        return B.provenance(self.items, self.gold, shown=None)
+    def ad_weeks(self) -> DataFrame:
+        return B.provenance(self.items, self.gold, ids=False)
 
     @property
     def provenance_rows(self) -> DataFrame:

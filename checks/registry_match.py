@@ -121,7 +121,7 @@ EXTRA = {
           FROM serial s JOIN lists l ON l.list_id = s.list_id AND l.position = s.position + 1
           LEFT JOIN choices c ON c.list_id = s.list_id AND c.position = s.position + 1)""",
     "cited": """SELECT basket_id, max(ad_week) AS ad_week, count(price_id) AS n_price_ids,
-        coalesce(list_sort(list(price_id) FILTER (WHERE price_id IS NOT NULL))[1:20], []) AS price_ids
+        coalesce(list_sort(list(price_id) FILTER (WHERE price_id IS NOT NULL)), []) AS price_ids
         FROM items LEFT JOIN (SELECT canonical_id, price_id, ad_week FROM gold) USING (canonical_id)
         GROUP BY basket_id""",
     "texts": """SELECT basket_id, CASE WHEN flexible_winner IS NULL
@@ -648,7 +648,7 @@ def _(r):
 @matched(
     "citations",
     """SELECT basket_id, 'basket ' || basket_id || ' · ad week ' || coalesce(strftime(ad_week, '%Y-%m-%d'), 'None')
-       || ' · ' || n_price_ids || ' gold price rows (price_id ' || coalesce(array_to_string(price_ids, ','), '')
+       || ' · ' || n_price_ids || ' gold price rows (price_id ' || coalesce(array_to_string(price_ids[1:20], ','), '')
        || CASE WHEN n_price_ids > 20 THEN '…' ELSE '' END || ')' AS citations FROM cited""",
 )
 def _(r):
@@ -688,7 +688,7 @@ def _(r):
 )
 def _(r):
     t = basket_tables(r.items, r.gold)
-    return reports.verdict_report(t.verdict, r.baskets, r.sources, t.provenance).select(
+    return reports.verdict_report(t.verdict, r.baskets, r.sources, t.ad_weeks).select(
         "basket_id", "name", day("ad_week"), "n_items", "flexible_winner", "flexible_banner",
         "exact_winner", "exact_banner", *dbl("flexible_total", "split_savings"),
     )
@@ -722,25 +722,47 @@ def packs(r: Roles):
 
 @matched(
     "fact_pack",
-    """SELECT v.basket_id, v.n_items, coalesce(b.banner, flexible_winner) AS winner, flexible_total::DOUBLE AS total,
-       len(numbers) AS n_numbers, len(stores_used) AS n_split_stores, n_price_ids AS cited,
-       (SELECT count(*) FROM ranking k WHERE k.basket_id = v.basket_id AND k.mode = 'flexible')
-         - CASE WHEN flexible_winner IS NULL THEN 0 ELSE 1 END AS n_others
-       FROM verdict v LEFT JOIN sources b ON b.source = flexible_winner
-       LEFT JOIN fact_numbers f ON f.basket_id = v.basket_id LEFT JOIN cited c ON c.basket_id = v.basket_id""",
+    """SELECT * FROM (WITH absent AS (SELECT s.basket_id, s.source, list(i.label ORDER BY i.label, i.canonical_id)[1:5] AS labels
+         FROM (SELECT basket_id, source FROM ranking WHERE mode = 'flexible') s JOIN items i ON i.basket_id = s.basket_id
+         LEFT JOIN offers o ON o.canonical_id = i.canonical_id AND o.source = s.source AND o.mode = 'flexible'
+         WHERE o.canonical_id IS NULL GROUP BY ALL),
+       stores AS (SELECT k.basket_id, rank, full_coverage, store_total, coalesce(banner, k.source) AS store,
+           coalesce(banner, k.source) || ':' || missing_count || ':' || coalesce(array_to_string(labels, '/'), '') AS told
+         FROM ranking k LEFT JOIN absent USING (basket_id, source) LEFT JOIN sources s ON s.source = k.source
+         WHERE mode = 'flexible'),
+       told AS (SELECT basket_id, string_agg(told, ';' ORDER BY rank) AS others FROM stores JOIN verdict USING (basket_id)
+         WHERE rank > 1 OR flexible_winner IS NULL GROUP BY basket_id)
+       SELECT v.basket_id, v.n_items, coalesce(b.banner, flexible_winner) AS winner, flexible_total::DOUBLE AS total,
+       n.store AS runner_up, round(100 * (n.store_total - flexible_total))::BIGINT AS saved_cents,
+       len(numbers) AS n_numbers, len(stores_used) AS n_split_stores, n_price_ids AS cited, coalesce(others, '') AS others,
+       coalesce(array_to_string(price_ids, ','), '') AS price_ids, strftime(ad_week, '%Y-%m-%d') AS ad_week,
+       'basket ' || v.basket_id || ' · ad week ' || coalesce(strftime(ad_week, '%Y-%m-%d'), 'None')
+         || ' · ' || n_price_ids || ' gold price rows (price_id ' || coalesce(array_to_string(price_ids[1:20], ','), '')
+         || CASE WHEN n_price_ids > 20 THEN '…' ELSE '' END || ')' AS citations
+       FROM verdict v LEFT JOIN sources b ON b.source = flexible_winner LEFT JOIN told ON told.basket_id = v.basket_id
+       LEFT JOIN stores n ON n.basket_id = v.basket_id AND n.rank = 2 AND n.full_coverage AND flexible_winner IS NOT NULL
+       LEFT JOIN fact_numbers f ON f.basket_id = v.basket_id LEFT JOIN cited c ON c.basket_id = v.basket_id)""",
 )
 def _(r):
     rows, _ = packs(r)
     at = lambda path, kind: F.get_json_object("facts", path).cast(kind)
+    stores = F.from_json(F.get_json_object("facts", "$.other_stores"), "array<struct<store string, missing_count int, missing_labels array<string>>>")
+    ids = F.from_json(F.get_json_object("facts", "$._provenance.price_ids"), "array<string>")
+    told = F.transform(stores, lambda x: F.concat_ws(":", x["store"], x["missing_count"].cast("string"), F.array_join(x["missing_labels"], "/")))
     return rows.select(
         "basket_id",
         at("$.n_items", "bigint").alias("n_items"),
         at("$.winner.store", "string").alias("winner"),
         at("$.winner.total", "double").alias("total"),
+        at("$.runner_up.store", "string").alias("runner_up"),
+        F.round(100 * at("$.saving_vs_runner_up", "double")).cast("bigint").alias("saved_cents"),
         F.size("numbers").alias("n_numbers"),
         at("$.split.n_stores", "int").alias("n_split_stores"),
         at("$._provenance.price_id_count", "bigint").alias("cited"),
-        F.coalesce(F.json_array_length(F.get_json_object("facts", "$.other_stores")), F.lit(0)).alias("n_others"),
+        F.coalesce(F.array_join(told, ";"), F.lit("")).alias("others"),
+        F.array_join(ids, ",").alias("price_ids"),
+        at("$.ad_week", "string").alias("ad_week"),
+        "citations",
     )
 
 
