@@ -33,6 +33,33 @@ def first_per_group(df: DataFrame, keys: list[str], order: list[Column]) -> Data
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
+def latest_prices(prices: DataFrame, tie_break: tuple[str, ...] = ()) -> DataFrame:
+    """Latest price row per (source product, store); a NULL store is a group of its own.
+
+    Latest rows of parts of the prices merge: the latest of (latest of some rows, other rows) is the latest of all. So a
+    snapshot is kept up by new rows alone (see ``keyed_table.refresh_latest``), in any order of arrival.
+    """
+    facts = prices.select(
+        "source_product_id",
+        "source",
+        "store_id",
+        "price_id",
+        *[or_null(prices, n, t) for n, t in PRICE_FIELDS.items()],
+        *[c for c in tie_break if c not in PRICE_FIELDS],
+    )
+    return first_per_group(
+        facts,
+        ["source_product_id", "store_id"],
+        [F.desc("observed_at"), F.desc("price_id"), *[F.desc(c) for c in tie_break]],
+    )
+
+
+def price_delta(prices: DataFrame, weeks: list) -> DataFrame:
+    """Price rows of some ad weeks: a partition filter where prices are stored by ad week, so that a refresh reads the weeks
+    that a delivery touched and no history."""
+    return prices.filter(F.col("ad_week").isin(weeks))
+
+
 def gold_current_prices(
     prices: DataFrame,
     source_products: DataFrame,
@@ -47,18 +74,18 @@ def gold_current_prices(
     groups: taking the latest row first gives the same rows and shrinks the
     fact table before it meets any join. A NULL store is a group of its own.
     """
-    facts = prices.select(
-        "source_product_id",
-        "source",
-        "store_id",
-        "price_id",
-        *[or_null(prices, n, t) for n, t in PRICE_FIELDS.items()],
-    )
-    latest = first_per_group(
-        facts,
-        ["source_product_id", "store_id"],
-        [F.desc("observed_at"), F.desc("price_id"), *[F.desc(c) for c in tie_break]],
-    )
+    latest = latest_prices(prices, tie_break)
+    return gold_of_latest(latest, source_products, canonical, stores, min_confidence)
+
+
+def gold_of_latest(
+    latest: DataFrame,
+    source_products: DataFrame,
+    canonical: DataFrame,
+    stores: DataFrame,
+    min_confidence: float = V.TRUST_CONFIDENCE,
+) -> DataFrame:
+    """Gold rows of latest price rows, computed now or kept in a snapshot."""
     trusted = source_products.filter(
         F.col("canonical_id").isNotNull() & (F.col("match_confidence") >= min_confidence)
     ).select("source_product_id", "canonical_id", "match_confidence")

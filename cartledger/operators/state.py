@@ -74,6 +74,20 @@ def upsert_source_products(
     )
 
 
+def fold_states(state: DataFrame, other: DataFrame) -> DataFrame:
+    """Merge states of different batches; order does not matter."""
+    rows = state.unionByName(other)
+    keys = ["source", "source_sku", "lone_key"]
+    highest = {"last_row", "last_seen_at"}
+    return rows.groupBy(*keys).agg(
+        *[
+            (F.max(c) if c in highest else F.min(c)).alias(c)
+            for c in rows.columns
+            if c not in keys
+        ]
+    )
+
+
 def source_product_table(state: DataFrame, *arrival: str) -> DataFrame:
     """Readable rows of the upsert state, with a content-derived id, and the named parts of the arrival key of the first
     sighting."""

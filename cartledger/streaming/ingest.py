@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..fixed_values import PARSED_SOURCES
 from ..functions.taxonomy import coarse_category
-from ..operators.state import price_observations, source_product_table, upsert_source_products
+from ..operators.state import fold_states, price_observations, source_product_table, upsert_source_products
 from ..sources.artifacts import pending
 from ..sources.catalogs import parse_breadcrumb, parse_first_item, parse_string_price, unreadable
 from ..sources.pages import deal_records, parse_deals
@@ -158,17 +158,3 @@ def ingested_products(spark: SparkSession, root: str) -> DataFrame:
     state = spark.read.parquet(_table(root, "sightings")).drop("batch")
     none = state.limit(0)
     return source_product_table(fold_states(state, none))
-
-
-def fold_states(state: DataFrame, other: DataFrame) -> DataFrame:
-    """Merge states of different batches; order does not matter."""
-    rows = state.unionByName(other)
-    keys = ["source", "source_sku", "lone_key"]
-    highest = {"last_row", "last_seen_at"}
-    return rows.groupBy(*keys).agg(
-        *[
-            (F.max(c) if c in highest else F.min(c)).alias(c)
-            for c in rows.columns
-            if c not in keys
-        ]
-    )

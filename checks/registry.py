@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from cartledger.operators import basket as B
 from cartledger.operators import gold as G
+from cartledger.operators import keyed_table as K
 from cartledger.plans.baskets import basket_tables
+from cartledger.session import cut_lineage, work_dir
 
 from .harness import shared_folder
 from .oracle import sql
-from .roles import Roles
+from .roles import PRICE_TIES, Roles
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -60,6 +64,30 @@ def _(r):
     )
 
 
+@query(
+    "gold_incremental",
+    """SELECT canonical_id, source, store_id, source_product_id, strftime(observed_at, '%Y-%m-%d') AS observed_at,
+       price::DOUBLE AS price, price_id FROM gold""",
+)
+def _(r):
+    """A snapshot of the prices before 1997 kept up by the weeks after, each in a refresh of its own."""
+    columns = [f.name for f in G.latest_prices(r.prices.limit(0), PRICE_TIES).schema]
+    prices = cut_lineage(r.prices.select(*[c for c in columns if c in r.prices.columns]))
+    latest = K.KeyedTable(
+        r.spark, f"{work_dir(r.spark)}/latest-{uuid.uuid4().hex}", ("source_product_id", "store_id"),
+        G.latest_prices(prices, PRICE_TIES)._jdf.schema().toDDL(), parts=16,
+    )
+    edges = ["1900-01-01", "1997-01-01", "1998-01-01", "2100-01-01"]
+    for lo, hi in zip(edges, edges[1:], strict=False):
+        rows = prices.filter(F.col("observed_at").between(lo, F.expr(f"timestamp'{hi}' - interval 1 second")))
+        if lo == edges[0]:
+            latest.create(G.latest_prices(rows, PRICE_TIES))
+        else:
+            K.refresh_latest(latest, G.latest_prices(rows, PRICE_TIES), PRICE_TIES)
+    gold = G.gold_of_latest(latest.read(), r.source_products, r.canonical, r.stores)
+    return gold.select("canonical_id", "source", "store_id", "source_product_id", day("observed_at"), *dbl("price"), "price_id")
+
+
 @query(
     "cheapest_source_per_item",
     """SELECT canonical_id, source, store_id, unit_price, unit, price_id FROM gold
@@ -118,10 +146,10 @@ def _(r):
 
 @query(
     "store_deltas",
-    """SELECT r.basket_id, r.mode, r.source, r.store_total::DOUBLE AS store_total,
-       w.store_total::DOUBLE AS winner_total,
-       CASE WHEN r.store_total > w.store_total THEN (r.store_total - w.store_total)::DOUBLE END AS above_winner
-       FROM ranking r LEFT JOIN winners w ON w.basket_id = r.basket_id AND w.mode = r.mode""",
+    """SELECT basket_id, mode, source, store_total::DOUBLE AS store_total, w::DOUBLE AS winner_total,
+       CASE WHEN store_total > w THEN (store_total - w)::DOUBLE END AS above_winner
+       FROM (SELECT *, max(CASE WHEN rank = 1 AND full_coverage THEN store_total END)
+         OVER (PARTITION BY basket_id, mode) AS w FROM ranking)""",
 )
 def _(r):
     return B.store_deltas(r.ranking).select(

@@ -12,9 +12,10 @@ from cartledger.functions import pricing as P
 from cartledger.functions import sizes as Z
 from cartledger.functions import taxonomy as T
 from cartledger.functions import text as X
+from cartledger.operators import keyed_table as K
 from cartledger.operators import state
 from cartledger.plans.narration import with_banner
-from cartledger.session import work_dir
+from cartledger.session import cut_lineage, work_dir
 from cartledger.sources import artifacts as A
 from cartledger.sources import catalogs as C
 from cartledger.sources import pages as H
@@ -597,18 +598,17 @@ def _(r):
     )
 
 
-@query(
-    "upsert_source_products",
-    """SELECT l_suppkey::VARCHAR AS source, l_partkey::VARCHAR AS source_sku,
+SIGHTED = """SELECT l_suppkey::VARCHAR AS source, l_partkey::VARCHAR AS source_sku,
        arg_max(l_returnflag, o) AS raw_name, arg_min(l_linestatus, o) AS raw_brand,
        arg_min(l_quantity::BIGINT, o) FILTER (WHERE l_tax > 0)::VARCHAR AS category_hint,
        strftime(min(l_shipdate), '%Y-%m-%d') AS first_seen, strftime(max(l_shipdate), '%Y-%m-%d') AS last_seen
        FROM (SELECT *, row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_extendedprice,
            l_quantity, l_tax, l_returnflag, l_linestatus) AS o FROM lineitem)
-       GROUP BY l_suppkey, l_partkey""",
-)
-def _(r):
-    """Sightings arrive in two batches, the later ships second."""
+       GROUP BY l_suppkey, l_partkey"""
+
+
+def sighted(r: Roles):
+    """Line items as sightings of (supplier, part), in two batches; the later ships second. Also the order of arrival."""
     seen = r.table("lineitem").select(
         F.col("l_suppkey").cast("string").alias("source"),
         F.col("l_partkey").cast("string").alias("source_sku"),
@@ -624,10 +624,31 @@ def _(r):
     order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity", "l_tax",
              "l_returnflag", "l_linestatus"]
     early = F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz")
-    first = state.upsert_source_products(None, seen.filter(early), order)
-    both = state.upsert_source_products(first, seen.filter(~early), order)
-    return state.source_product_table(both).select(
+    return seen.filter(early), seen.filter(~early), order
+
+
+def sighted_products(folded):
+    return state.source_product_table(folded).select(
         "source", "source_sku", "raw_name", "raw_brand", "category_hint",
         F.date_format("first_seen_at", "yyyy-MM-dd").alias("first_seen"),
         F.date_format("last_seen_at", "yyyy-MM-dd").alias("last_seen"),
     )
+
+
+@query("upsert_source_products", SIGHTED)
+def _(r):
+    early, late, order = sighted(r)
+    first = state.upsert_source_products(None, early, order)
+    return sighted_products(state.upsert_source_products(first, late, order))
+
+
+@query("keyed_source_products", SIGHTED)
+def _(r):
+    """The same state in a table dealt by key, whose touched partitions alone are replaced."""
+    early, late, order = sighted(r)
+    first = cut_lineage(state.upsert_source_products(None, early, order))
+    table = K.KeyedTable(r.spark, f"{work_dir(r.spark)}/sighted-{uuid.uuid4().hex}", ("source", "source_sku", "lone_key"),
+                         first._jdf.schema().toDDL(), parts=16)
+    table.create(first)
+    K.upsert_sightings(table, late, order)
+    return sighted_products(table.read())
