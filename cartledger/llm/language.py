@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .texts import lowered, mix, slices, text_buffer
@@ -117,15 +117,14 @@ def _sample_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Classifier | None:
     known = docs.where("lang is not null and doc_id is not null and text is not null").where(~held_out())
-    names = sorted(r["lang"] for r in known.select("lang").distinct().collect())
-    sample = None
-    for name in names:  # as many bounded samples as there are languages; only ids are sorted
-        few = known.where(F.col("lang") == name).select("doc_id").orderBy(F.xxhash64("doc_id", F.lit(4)), "doc_id").limit(sample_rows)
-        sample = few if sample is None else sample.union(few)
-    if sample is None:
-        return None
-    ids = sample.select(F.col("doc_id").alias("id")).distinct()
+    # the first ids of each language by hash; a window limit keeps no more of a language on the map side either
+    by = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(4)), "doc_id")
+    ids = known.select("lang", "doc_id").distinct().withColumn("nth", F.row_number().over(by)).where(F.col("nth") <= sample_rows)
+    ids = ids.select(F.col("doc_id").alias("id")).distinct()
     rows = known.select("doc_id", "lang", "text").join(ids, F.col("doc_id") == F.col("id"))
+    # one text of each sampled id, so that sample_rows bounds what reaches the driver
+    one = F.min_by(F.struct("lang", "text"), F.struct(F.xxhash64("lang", "text"), F.length("text"))).alias("one")
+    rows = rows.groupBy("id").agg(one).select("one.lang", "one.text")
     rows = rows.select("lang", "text").mapInArrow(_sample_pieces, "lang string, piece binary")
     rows = sorted({(r["lang"], bytes(r["piece"])) for r in rows.toLocalIterator()})
     names = sorted({lang for lang, _ in rows})

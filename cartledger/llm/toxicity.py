@@ -159,7 +159,10 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
         few = known.where(F.col("label") == value).orderBy(F.xxhash64("doc_id", F.lit(2)), "doc_id").limit(sample_rows)
         picked = few if picked is None else picked.union(few)
     sample = docs.select(F.col("doc_id").alias("id"), "text").join(picked, F.col("id") == F.col("doc_id"))
-    rows = sample.select("text", F.col("label").cast("long").alias("label")).mapInArrow(_slots_of, "label long, slots binary")
+    # one text of each sampled id, so that sample_rows bounds what reaches the driver
+    text = F.min_by("text", F.struct(F.xxhash64("text"), F.length("text"))).alias("text")
+    sample = sample.groupBy("id").agg(text, F.max("label").cast("long").alias("label"))
+    rows = sample.select("text", "label").mapInArrow(_slots_of, "label long, slots binary")
     rows = sorted((r["label"], bytes(r["slots"])) for r in rows.toLocalIterator())
     label = np.array([r[0] for r in rows], np.int64)
     if len(set(label.tolist())) < 2:

@@ -100,7 +100,10 @@ class Segment:
                 while piece := source.read(1 << 22):
                     copy.write(piece)
             path = copy.name
-        return np.memmap(path, dtype, "r") if os.path.getsize(path) else np.zeros(0, dtype)
+        found = np.memmap(path, dtype, "r") if os.path.getsize(path) else np.zeros(0, dtype)
+        if at.type_name != "local":
+            os.unlink(path)  # the mapping holds the copy until this worker ends
+        return found
 
     def find(self, asked: list[str], keys: np.ndarray) -> dict[int, str]:
         """Place in ``asked`` -> verdict, of those that are stored."""

@@ -175,3 +175,25 @@ def test_runs_of_a_long_text(spark):
     got = periodic.periodic_runs(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
     assert [tuple(r) for r in got["runs"]] == [(150_000, 15_000, 3)]
     assert got["collapsed"] == " ".join([f"u{i}" for i in range(150_000)] + ["x y z end"])
+
+
+def test_a_repeated_sample_id_sends_one_row(spark, monkeypatch):
+    """One id on many rows, toxic and in two languages: what reaches the driver is one row for each sampled id."""
+    from cartledger.llm import language, toxicity
+
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+    rows = [(i, f"plain words number {i} here", "en" if i % 2 else "de") for i in ids]
+    rows += [(ids[0], f"bad words {k}", "en" if k % 2 else "de") for k in range(2000)]
+    docs = frame(spark, rows, 8)
+    labels = spark.createDataFrame([(i, 1, int(i == ids[0])) for i in ids], "doc_id long, quality int, toxic int")
+    sent, whole = [], type(docs).toLocalIterator
+
+    def counted(self, *a):
+        found = list(whole(self, *a))
+        sent.append(len(found))
+        return iter(found)
+
+    monkeypatch.setattr(type(docs), "toLocalIterator", counted)
+    toxicity.train(docs, labels)
+    language.train(docs)
+    assert len(sent) == 2 and sent[0] == len(ids) and sent[1] <= language.SAMPLE_PIECES * len(ids)
