@@ -105,17 +105,23 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text"):
             found = Anchors(Words(*text_buffer(part.column("text"))))
-            ends = np.searchsorted(found.owner, np.arange(part.num_rows + 1))
-            rows = []
-            for i, wanted in enumerate(part.column("wanted").to_pylist()):
-                lo, hi = ends[i], ends[i + 1]
-                at = lo + np.flatnonzero(np.isin(found.context[lo:hi], np.array(wanted, np.int64)))
-                _, once = np.unique(found.context[at], return_index=True)
-                rows += [(int(found.context[k]), int(found.left[k]), found.hashes[found.lo[k] : found.hi[k]].tobytes()) for k in at[once]]
+            asked = part.column("wanted")
+            owner = np.repeat(np.arange(part.num_rows), asked.value_lengths().fill_null(0).to_numpy())
+            wanted = asked.flatten().to_numpy(zero_copy_only=False)
+            # (text, context) pairs on both sides; of equal ones in a text the first is told
+            pairs = np.stack([np.concatenate([owner, found.owner]), np.concatenate([wanted, found.context])])
+            _, same = np.unique(pairs, axis=1, return_inverse=True) if pairs.size else (None, np.zeros(0, np.int64))
+            same = same.reshape(-1)
+            at = np.flatnonzero(np.isin(same[len(owner) :], same[: len(owner)]))
+            at = at[np.unique(same[len(owner) :][at], return_index=True)[1]]
+            size = found.hi[at] - found.lo[at]
+            words = found.hashes[ranges(found.lo[at], size)] if len(at) else np.zeros(0, np.uint64)
+            ends = np.concatenate([[0], np.cumsum(size * 8)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())],
+                [pa.array(found.context[at]), pa.array(found.left[at].astype(np.int32)),
+                 pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(words))])],
                 names=["context", "left", "words"],
-            )
+            )
 
 
 def repeats_in_shard(shard: pd.DataFrame) -> pd.DataFrame:
@@ -174,16 +180,19 @@ def repeats_in_shard(shard: pd.DataFrame) -> pd.DataFrame:
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Every window of each context: its hash, and its bit."""
     for batch in batches:
-        for row in batch.to_pylist():
-            words = np.frombuffer(row["words"], np.uint64)
-            left, windows = row["left"], gram_hashes(words, WINDOW)
-            starts = np.arange(max(0, left + GRAM - WINDOW), min(left, len(words) - WINDOW) + 1)
-            n = len(starts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([row["context"]] * n, pa.int64()), pa.array([row["first_doc"]] * n, pa.int64()),
-                 pa.array((windows[starts] >> np.uint64(1)).astype(np.int64)), pa.array((starts + PLACES - 1 - left).astype(np.int32))],
-                names=["context", "first_doc", "window", "bit"],
-            )
+        data, offsets = text_buffer(batch.column("words"))
+        first = offsets // 8
+        left = batch.column("left").to_numpy().astype(np.int64)
+        lo = np.maximum(0, left + GRAM - WINDOW)
+        count = np.maximum(0, np.minimum(left, np.diff(first) - WINDOW) + 1 - lo)
+        keys = gram_hashes(np.frombuffer(data.tobytes(), np.uint64), WINDOW)
+        row = np.repeat(np.arange(len(left)), count)
+        start = ranges(lo, count)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(c).take(pa.array(row)) for c in ("context", "first_doc")]
+            + [pa.array((keys[first[row] + start] >> np.uint64(1)).astype(np.int64)), pa.array((start + PLACES - 1 - left[row]).astype(np.int32))],
+            names=["context", "first_doc", "window", "bit"],
+        )
 
 
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,7 +261,8 @@ def repeats(docs: DataFrame) -> DataFrame:
 
     many = told.where(F.col("contexts") > ANCHOR_CONTEXTS).select("context", "first_doc", "left", "words")
     windows = cut_lineage(many.mapInArrow(_windows, "context long, first_doc long, window long, bit int"))
-    least = windows.groupBy("window").agg(F.min("first_doc").alias("earliest")).withColumnRenamed("window", "w")
+    # a table of its own, so that the join deals both sides itself and adaptive execution may split a hot window
+    least = cut_lineage(windows.groupBy(F.col("window").alias("w")).agg(F.min("first_doc").alias("earliest")))
     late = windows.join(least, F.col("window") == F.col("w")).where("earliest < first_doc")
     found = found.union(late.groupBy("context").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask")))
     found = cut_lineage(found.withColumnRenamed("context", "c"))
