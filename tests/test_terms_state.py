@@ -158,3 +158,20 @@ def test_small_state_changes(spark):
     assert sorted(map(tuple, state.insert_new(a, b, ["k"]).collect())) == [("x", 1), ("y", 2), ("z", 3)]
     assert [r.k for r in state.delete_where(a, b, ["k"]).collect()] == ["x"]
     assert [r.k for r in state.deleted_where(a, b, ["k"]).collect()] == ["y"]
+
+
+def test_a_word_in_every_name_is_no_key(spark):
+    """Keywords are looked up by their rarest word; candidates are those of the pattern on every name."""
+    names = [f"Organic {w} {i}" for i, w in enumerate(["Milk", "Oats", "Eggs", "half-and-half", "Milks", "$ Deal"] * 30)]
+    products = spark.createDataFrame(
+        [(i, n, "dairy", 1, 1.0) for i, n in enumerate(names)],
+        "canonical_id bigint, canonical_name string, coarse_category string, n_sources bigint, min_price double")
+    keywords = ["organic milk", "organic", "Organic half-and-half", "organic none", "$", "egg", "organic  milk"]
+    lists = spark.createDataFrame([(k, None) for k in keywords], "keyword string, coarse string")
+    words = products.select(F.explode(terms._word_keys(F.col("canonical_name"))).alias("_word"))
+    rarest = {r["keyword"]: r["_word"] for r in terms.rarest_words(lists.select("keyword"), words).collect()}
+    assert rarest["organic milk"] == "milk" and rarest["organic none"] == "none" and rarest["organic"] == "organic"
+    assert rarest["Organic half-and-half"] in ("and", "half")
+    got = {(r.keyword, r.canonical_id) for r in terms.term_candidates(lists, products).collect()}
+    want = lists.join(products, F.regexp_like(F.lower("canonical_name"), terms.term_pattern(F.col("keyword"))))
+    assert got == {(r.keyword, r.canonical_id) for r in want.collect()} and len(got) > 200
