@@ -199,52 +199,73 @@ def runner_up(ranking: DataFrame) -> DataFrame:
     )
 
 
-def _offered(mode: str):
-    return lambda offer: offer[mode].isNotNull()
+def source_bits(sources: DataFrame) -> DataFrame:
+    """(source, word, bit, flag): every source's place in masks of 64 bits.
+
+    One row per source. Numbering them takes one task, so ``sources`` is a dimension or the sources of a sheet, which
+    are few; more than 64 of them take more words, not wider ones.
+    """
+    number = F.row_number().over(Window.orderBy("source")) - 1
+    return (
+        sources.select("source").filter("source IS NOT NULL").distinct()
+        .select("source", number.alias("n"))
+        .selectExpr("source", "n DIV 64 AS word", "n % 64 AS bit", "shiftleft(1L, n % 64) AS flag")
+    )
+
+
+def _mask(mode: str, held: Column) -> Column:
+    return F.coalesce(F.bit_or(F.when(held, F.col("flag"))), F.lit(0).cast("bigint")).alias(mode)
 
 
-def missing_items(items: DataFrame, offers: DataFrame, sheet: DataFrame) -> DataFrame:
-    """(basket, mode, source, label) for every line a ranked store lacks.
+def missing_masks(items: DataFrame, offers: DataFrame, sheet: DataFrame, bits: DataFrame) -> DataFrame:
+    """(basket_id, canonical_id, label, word, flexible, exact): the ranked stores that lack a basket line, as bits.
 
-    Only absent sources are emitted: each line carries its basket's store list
-    (at most one entry per source) and drops those that offer the product.
+    A basket's stores and a product's stores are one mask each, so a line meets two whole numbers and what is absent is
+    one AND NOT; ``bit_count`` counts it without making rows. Lines that no store lacks are left out.
     """
-    stores = (
-        sheet.filter("source IS NOT NULL")
-        .groupBy("basket_id")
-        .agg(
-            *[
-                F.collect_list(F.when(F.col(f"covered_{m}") > 0, F.col("source"))).alias(f"all_{m}")
-                for m in MODES
-            ]
-        )
-    )
-    have = offers.select(
-        "canonical_id",
-        *[
-            F.transform(
-                F.filter("offers", _offered(m)), lambda o: o["source"]
-            ).alias(f"have_{m}")
-            for m in MODES
-        ],
-    )
-    lines = items.select("basket_id", "canonical_id", "label").join(
-        have, "canonical_id", "left"
-    )
-    nothing = F.array().cast("array<string>")
-    absent = F.array(
-        *[
-            F.struct(
-                F.lit(m).alias("mode"),
-                F.array_except(f"all_{m}", F.coalesce(F.col(f"have_{m}"), nothing)).alias("sources"),
-            )
-            for m in MODES
-        ]
-    )
+    offered = offers.select("canonical_id", F.inline("offers")).join(bits, "source")
+    have = offered.groupBy("canonical_id", "word").agg(*[_mask(f"have_{m}", F.col(m).isNotNull()) for m in MODES])
+    ranked = sheet.join(bits, "source").groupBy("basket_id", "word").agg(
+        *[_mask(f"all_{m}", F.col(f"covered_{m}") > 0) for m in MODES]
+    )
+    lines = items.select("basket_id", "canonical_id", "label").join(ranked, "basket_id")
+    met = lines.join(have, ["canonical_id", "word"], "left")
+    absent = [
+        F.col(f"all_{m}").bitwiseAND(F.bitwise_not(F.coalesce(f"have_{m}", F.lit(0).cast("bigint")))).alias(m)
+        for m in MODES
+    ]
+    some = " OR ".join(f"{m} <> 0" for m in MODES)
+    return met.select("basket_id", "canonical_id", "label", "word", *absent).filter(some)
+
+
+def missing_counts(masks: DataFrame) -> DataFrame:
+    """Per (basket, line): how many ranked stores lack it in each mode, straight from the masks."""
+    return masks.groupBy("basket_id", "canonical_id", "label").agg(
+        *[F.sum(F.bit_count(m)).alias(f"lacking_{m}") for m in MODES]
+    )
+
+
+def missing_items(
+    items: DataFrame,
+    offers: DataFrame,
+    sheet: DataFrame,
+    bits: DataFrame | None = None,
+    modes: tuple[str, ...] = tuple(MODES),
+) -> DataFrame:
+    """(basket_id, mode, source, canonical_id, label) for every line a ranked store lacks in one of ``modes``.
+
+    Rows are made from :func:`missing_masks` last of all, one per bit that is set. ``bits`` is the table of
+    :func:`source_bits`, numbered from the sheet when it is not given.
+    """
+    bits = source_bits(sheet) if bits is None else bits
+    masks = missing_masks(items, offers, sheet, bits)
+    by_mode = F.array(*[F.struct(F.lit(m).alias("mode"), F.col(m).alias("mask")) for m in modes])
+    rows = masks.select("basket_id", "canonical_id", "label", "word", F.inline(by_mode)).filter("mask <> 0")
+    places = F.expr("filter(sequence(0, 63), i -> getbit(mask, i) = 1)")
     return (
-        lines.join(stores, "basket_id")
-        .select("basket_id", "canonical_id", "label", F.inline(absent))
-        .select("basket_id", "mode", F.explode("sources").alias("source"), "canonical_id", "label")
+        rows.select("basket_id", "canonical_id", "label", "word", "mode", F.explode(places).alias("bit"))
+        .join(bits.select("word", "bit", "source"), ["word", "bit"])
+        .select("basket_id", "mode", "source", "canonical_id", "label")
     )
 
 

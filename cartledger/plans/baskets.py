@@ -1,8 +1,9 @@
-"""The tables several basket reports share, computed once."""
+"""The tables several basket reports share, each made when a report first asks for it."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
@@ -12,10 +13,28 @@ from ..session import cut_lineage
 
 @dataclass(frozen=True)
 class BasketTables:
+    """Basket lines and gold prices, and what reports derive from them.
+
+    Nothing is written when this is built. Offers (a row per product) and the sheet (a row per basket and source) are
+    written to the shared folder when they are first needed, as several reports read both; basket lines and gold prices
+    are never written here.
+    """
+
     items: DataFrame
     gold: DataFrame
-    offers: DataFrame
-    sheet: DataFrame
+
+    @cached_property
+    def offers(self) -> DataFrame:
+        return cut_lineage(B.product_offers(self.gold))
+
+    @cached_property
+    def sheet(self) -> DataFrame:
+        return cut_lineage(B.basket_sheet(self.items, self.offers))
+
+    @cached_property
+    def bits(self) -> DataFrame:
+        """Written, so that its true size decides how it is joined."""
+        return cut_lineage(B.source_bits(self.sheet))
 
     @property
     def ranking(self) -> DataFrame:
@@ -27,7 +46,15 @@ class BasketTables:
 
     @property
     def missing(self) -> DataFrame:
-        return B.missing_items(self.items, self.offers, self.sheet)
+        return B.missing_items(self.items, self.offers, self.sheet, self.bits)
+
+    @property
+    def missing_flexible(self) -> DataFrame:
+        return B.missing_items(self.items, self.offers, self.sheet, self.bits, modes=("flexible",))
+
+    @property
+    def missing_masks(self) -> DataFrame:
+        return B.missing_masks(self.items, self.offers, self.sheet, self.bits)
 
     @property
     def provenance(self) -> DataFrame:
@@ -42,11 +69,7 @@ class BasketTables:
         return B.provenance_rows(self.items, self.gold)
 
 
-def basket_tables(items: DataFrame, gold: DataFrame) -> BasketTables:
-    """Write gold prices, basket lines, offers and the basket sheet to the shared
-    folder. Reports that use several of them then read small columnar tables
-    instead of running the fact table again for each."""
-    gold = cut_lineage(gold)
-    items = cut_lineage(items)
-    offers = cut_lineage(B.product_offers(gold))
-    return BasketTables(items, gold, offers, cut_lineage(B.basket_sheet(items, offers)))
+def basket_tables(items: DataFrame, gold: DataFrame, write_gold: bool = False) -> BasketTables:
+    """The shared tables of ``items`` and ``gold``. ``write_gold`` writes gold prices first, for reports that read them
+    again for their provenance."""
+    return BasketTables(items, cut_lineage(gold) if write_gold else gold)

@@ -187,8 +187,8 @@ def optimize(lists: DataFrame, tables: Tables, basket_id: int = 1) -> Tables:
 def fact_packs(tables: Tables) -> tuple[DataFrame, DataFrame]:
     """Packs that hold every price id, and the same price rows as a table keyed by basket_id."""
     gold = current_gold(tables).withColumn("price_id", F.col("price_id").cast("string"))
-    t = basket_tables(tables["basket_items"], gold)
-    return N.fact_pack(t.ranking, t.missing, t.verdict, tables["sources"], t.provenance), t.provenance_rows
+    t = basket_tables(tables["basket_items"], gold, write_gold=True)
+    return N.fact_pack(t.ranking, t.missing_flexible, t.verdict, tables["sources"], t.provenance), t.provenance_rows
 
 
 @dataclass(frozen=True)

@@ -180,8 +180,21 @@ def _(r):
        WHERE o.canonical_id IS NULL""",
 )
 def _(r):
-    t = basket_tables(r.items, r.gold)
-    return t.missing
+    return basket_tables(r.items, r.gold).missing
+
+
+@query(
+    "missing_counts",
+    """SELECT i.basket_id, i.canonical_id, i.label,
+       count(*) FILTER (WHERE s.mode = 'flexible') AS lacking_flexible,
+       count(*) FILTER (WHERE s.mode = 'exact') AS lacking_exact
+       FROM (SELECT basket_id, mode, source FROM ranking) s JOIN (SELECT DISTINCT basket_id, canonical_id, label FROM items) i ON i.basket_id = s.basket_id
+       LEFT JOIN offers o ON o.canonical_id = i.canonical_id AND o.source = s.source AND o.mode = s.mode
+       WHERE o.canonical_id IS NULL GROUP BY ALL""",
+)
+def _(r):
+    """Stores that lack each basket line, counted in bits."""
+    return B.missing_counts(basket_tables(r.items, r.gold).missing_masks)
 
 
 @query(

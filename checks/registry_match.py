@@ -687,7 +687,7 @@ def _(r):
        LEFT JOIN sources f ON f.source = flexible_winner LEFT JOIN sources e ON e.source = exact_winner""",
 )
 def _(r):
-    t = basket_tables(r.items, r.gold)
+    t = basket_tables(r.items, r.gold, write_gold=True)
     return reports.verdict_report(t.verdict, r.baskets, r.sources, t.ad_weeks).select(
         "basket_id", "name", day("ad_week"), "n_items", "flexible_winner", "flexible_banner",
         "exact_winner", "exact_banner", *dbl("flexible_total", "split_savings"),
@@ -716,8 +716,8 @@ def _(r):
 # ---- fact packs and narration ---------------------------------------------------------------
 
 def packs(r: Roles):
-    t = basket_tables(r.items, r.gold)
-    return N.fact_pack(t.ranking, t.missing, t.verdict, r.sources, t.provenance), t.verdict
+    t = basket_tables(r.items, r.gold, write_gold=True)
+    return N.fact_pack(t.ranking, t.missing_flexible, t.verdict, r.sources, t.provenance), t.verdict
 
 
 @matched(

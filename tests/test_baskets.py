@@ -58,3 +58,39 @@ def test_replace_basket(spark):
     items = spark.createDataFrame([(1, 5), (2, 6)], "basket_id bigint, canonical_id bigint")
     out = B.replace_basket(items, 1, spark.createDataFrame([(9,)], "canonical_id bigint"))
     assert sorted(tuple(r) for r in out.collect()) == [(1, 9), (2, 6)]
+
+
+def test_missing_masks_of_more_than_64_sources(spark):
+    """150 stores take three words; every third lacks the eggs, every seventh sells nothing trusted exactly."""
+    stores = [f"s{i:03d}" for i in range(150)]
+    offers = [(1, s, 1.0, 0.9 if i % 7 == 0 else 1.0) for i, s in enumerate(stores)]
+    offers += [(2, s, 2.0, 0.9 if i % 7 == 0 else 1.0) for i, s in enumerate(stores) if i % 3]
+    lines = [*MILK_EGGS, (1, 9, "ghost", 1), (2, 1, "milk", 1), (3, 9, "ghost", 1)]
+    s, items, table = sheet(spark, offers, lines)
+    expected = set()
+    for mode in ("flexible", "exact"):
+        for i, store in enumerate(stores):
+            if mode == "flexible" or i % 7:
+                expected |= {(1, mode, store, 9, "ghost")} | ({(1, mode, store, 2, "eggs")} if i % 3 == 0 else set())
+    rows = [tuple(r) for r in B.missing_items(items, table, s).collect()]
+    assert len(rows) == len(expected) and set(rows) == expected
+    flexible = B.missing_items(items, table, s, modes=("flexible",)).collect()
+    assert {tuple(r) for r in flexible} == {e for e in expected if e[1] == "flexible"}
+    counts = B.missing_counts(B.missing_masks(items, table, s, B.source_bits(s))).collect()
+    assert {(r.basket_id, r.label): (r.lacking_flexible, r.lacking_exact) for r in counts} == {
+        (1, "ghost"): (150, 128), (1, "eggs"): (50, 42)}
+
+
+def test_basket_tables_write_only_what_a_report_asks_for(spark, monkeypatch):
+    from cartledger.plans import baskets, reports
+
+    s, items, _ = sheet(spark, [(1, "kr", 3.0, 1.0), (2, "kr", 4.0, 1.0), (1, "wf", 1.0, 1.0)], MILK_EGGS)
+    gold = spark.createDataFrame([(1, "milk", "kr", "1", None, None, None, 1.0, "a")], GOLD)
+    written = []
+    monkeypatch.setattr(baskets, "cut_lineage", lambda df: written.append(df.columns) or df)
+    tables = baskets.basket_tables(items, gold)
+    assert written == []
+    reports.verdict_lines(tables.ranking, tables.missing)
+    assert [c[0] for c in written] == ["canonical_id", "basket_id", "source"] and "price_id" not in sum(written, [])
+    tables.missing_masks
+    assert len(written) == 3
