@@ -404,6 +404,36 @@ def _(r):
     return H.page_links(pages, ["page_id"], "/t", host).select("page_id", "detail_url", "title")
 
 
+@query(
+    "link_dates",
+    """SELECT doc_id, 'https://shop.example/leaflets/' || doc_id AS detail_url, title,
+       strftime(try_strptime(pair[1], '%m/%d/%Y'), '%Y-%m-%d') AS valid_from,
+       strftime(try_strptime(pair[2], '%m/%d/%Y'), '%Y-%m-%d') AS valid_to
+       FROM (SELECT doc_id, CASE doc_id % 3
+           WHEN 0 THEN 'Leaflet ' || m || '/' || d || '/2026 - ' || (m + 1) || '/' || d || '/2026'
+           WHEN 1 THEN source || ' until ' || m || '/' || d || '/2026' ELSE 'Ad' || m || '/1/2026-' || m || '/' || d || '/2026' END AS title,
+         CASE doc_id % 3 WHEN 0 THEN [m || '/' || d || '/2026', (m + 1) || '/' || d || '/2026']
+           WHEN 2 THEN [m || '/1/2026', m || '/' || d || '/2026'] END AS pair
+         FROM (SELECT doc_id, source, 1 + doc_id % 11 AS m, 1 + doc_id % 28 AS d FROM documents WHERE doc_id IS NOT NULL))""",
+)
+def _(r):
+    """Documents as leaflet pages: the title of each page's link carries a date range, or none. Open tags, a closing
+    tag inside a value and a second link to the same leaflet stand around it."""
+    m, d = (F.col("doc_id") % 11 + 1).cast("string"), (F.col("doc_id") % 28 + 1).cast("string")
+    title = (
+        F.when(F.col("doc_id") % 3 == 0,
+               F.concat(F.lit("Leaflet "), m, F.lit("/"), d, F.lit("/2026 - "), (F.col("doc_id") % 11 + 2).cast("string"),
+                        F.lit("/"), d, F.lit("/2026")))
+        .when(F.col("doc_id") % 3 == 1, F.concat("source", F.lit(" until "), m, F.lit("/"), d, F.lit("/2026")))
+        .otherwise(F.concat(F.lit("Ad"), m, F.lit("/1/2026-"), m, F.lit("/"), d, F.lit("/2026")))
+    )
+    link = F.concat(F.lit("<a title='</a>' href=\"/leaflets/"), F.col("doc_id").cast("string"), F.lit("\"> <b>"))
+    html = F.concat(F.lit("<p>a < b</a>"), link, title, F.lit("</b></a>"), link, F.lit("again</b></a><a href='/leaflets/x"))
+    pages = r.table("documents").filter("doc_id IS NOT NULL").select("doc_id", html.alias("html"))
+    links = H.page_links(pages, ["doc_id"], "/leaflets/", "https://shop.example")
+    return links.select("doc_id", "detail_url", "title", day("valid_from"), day("valid_to"))
+
+
 @query(
     "dim_insert_new",
     """SELECT source, origin FROM (
