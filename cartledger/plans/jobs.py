@@ -110,7 +110,9 @@ def current_gold(tables: Tables) -> DataFrame:
     )
 
 
-def adjudicate_queue(tables: Tables, decide: Callable, limit: int | None = None) -> tuple[Tables, dict]:
+def adjudicate_queue(
+    tables: Tables, decide: Callable, limit: int | None = None, journal: str | None = None
+) -> tuple[Tables, dict]:
     """Decide open pairs; reports how many products two or more sources share
     before and after."""
     rows = review.prioritized(
@@ -119,7 +121,7 @@ def adjudicate_queue(tables: Tables, decide: Callable, limit: int | None = None)
         ),
         limit,
     )
-    decisions = state_written(review.decide_queue(rows, decide))
+    decisions = state_written(review.decide_queue(rows, decide, journal))
     before = cross_store_items(tables["source_products"]).count()
     products, queue = review.apply_adjudication(
         tables["source_products"], tables["resolution_queue"], decisions
@@ -130,12 +132,13 @@ def adjudicate_queue(tables: Tables, decide: Callable, limit: int | None = None)
 
 
 def state_written(df: DataFrame) -> DataFrame:
-    """Answers of a paid decider are written once, never asked for again."""
+    """Answers of a paid decider are written before they are used; a ``journal`` of the job keeps them even from tasks
+    and runs that fail on the way here."""
     return cut_lineage(df)
 
 
 def adjudicate_list(
-    lists: DataFrame, tables: Tables, decide: Callable, now, model: str | None = None
+    lists: DataFrame, tables: Tables, decide: Callable, now, model: str | None = None, journal: str | None = None
 ) -> tuple[Tables, DataFrame]:
     """Ask about the list's undecided (term, product) pairs; weak answers wait
     for review. Returns the new cache and queue, and this run's answers."""
@@ -143,7 +146,7 @@ def adjudicate_list(
     pairs = terms.adjudication_pairs(lists.select(*terms.TERM_FIELDS).distinct(), products)
     asked = state.fresh_pairs(pairs, tables["match_verdicts"])
     known = tables["match_verdicts"]
-    _, answers = review.adjudicate_pairs(asked, known.limit(0), decide, now, model)
+    _, answers = review.adjudicate_pairs(asked, known.limit(0), decide, now, model, journal)
     answers = state_written(answers)
     changes = answers.filter("error IS NULL").select(
         *state.VERDICT_KEY, "verdict", "confidence", "reason",
@@ -203,7 +206,9 @@ class Narrated:
         return iter((self.accepted, self.rejected))
 
 
-def narrate(tables: Tables, write: Callable[[str], str], model: str | None = None) -> Narrated:
+def narrate(
+    tables: Tables, write: Callable[[str], str], model: str | None = None, journal: str | None = None
+) -> Narrated:
     """(accepted, rejected) summaries of every basket, with their price rows beside them."""
     packs, rows = fact_packs(tables)
-    return Narrated(*N.gate(state_written(N.write_summaries(packs, write)), model), rows)
+    return Narrated(*N.gate(state_written(N.write_summaries(packs, write, journal)), model), rows)
