@@ -25,7 +25,7 @@ def test_run_shards_what_the_stages_keep(spark):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 14))
 
 
 def told(n, seed):
