@@ -667,13 +667,15 @@ def _(r):
 
 @matched(
     "basket_lines",
-    """SELECT basket_id, category, label, quantity, i.source, coalesce(banner, i.source) AS banner,
+    """SELECT basket_id, row_number() OVER (PARTITION BY basket_id ORDER BY category NULLS LAST, label NULLS LAST,
+       canonical_id NULLS LAST, quantity NULLS LAST, price_id NULLS LAST) AS place,
+       category, label, quantity, i.source, coalesce(banner, i.source) AS banner,
        price::DOUBLE AS price, line_cost::DOUBLE AS line_cost, price_id
        FROM item_cost i LEFT JOIN sources s ON s.source = i.source""",
 )
 def _(r):
     return reports.basket_lines(B.basket_item_cost(r.items, r.offers), r.sources).select(
-        "basket_id", "category", "label", "quantity", "source", "banner", *dbl("price", "line_cost"), "price_id"
+        "basket_id", "place", "category", "label", "quantity", "source", "banner", *dbl("price", "line_cost"), "price_id"
     )
 
 
