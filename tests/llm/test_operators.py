@@ -187,7 +187,7 @@ def test_warc_rejects_what_does_not_fit():
     assert [body for _, body in warc.read_archive(io.BytesIO(raw), 5)] == [b"abc"]
     size = struct.unpack("<II", raw[:8])[1]
     encode = zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(raw[8 : 8 + size])).compress
-    for bad in (good.replace(b"Length: 3", b"Length: 4"), good.replace(b"abc", b"abd"), good.replace(b"WARC/1.1", b"WARC/9"), good[:-2], good.replace(b"response", b"request")):
+    for bad in (good.replace(b"Length: 3", b"Length: 4"), good.replace(b"abc", b"abd"), good.replace(b"WARC/1.1", b"WARC/9"), good[:-2], good.replace(b"response", b""), good.replace(b"WARC-Date", b"Date"), good.replace(b"<urn:page:7>", b"seven")):
         with pytest.raises(warc.BadArchive):
             list(warc.read_archive(io.BytesIO(raw[: 8 + size] + encode(bad))))
     for cut in (raw[:-3], raw + b"junk", raw[8:]):
@@ -195,6 +195,74 @@ def test_warc_rejects_what_does_not_fit():
             list(warc.read_archive(io.BytesIO(cut)))
 
 
+def foreign(kind, block, *more, version="1.0", date="2019-03-04T05:06:07Z"):
+    lines = [f"WARC/{version}", f"WARC-Type: {kind}", "WARC-Record-ID: <urn:uuid:7b2b1c1e-0000-4000-8000-00000000000a>", f"WARC-Date: {date}", *more]
+    return "\r\n".join([*lines, f"content-length: {len(block)}", "", ""]).encode() + block + b"\r\n\r\n"
+
+
+def test_warc_reads_archives_of_other_writers(spark, tmp_path):
+    body = b"5\r\nhello\r\n0\r\n\r\n"
+    message = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n" + body
+    sha, hexed = warc.digest(b"hello"), hashlib.sha256(b"k: v").hexdigest()
+    records = [
+        foreign("warcinfo", b"software: x\r\n", "Content-Type: application/warc-fields"),
+        foreign("request", b"GET / HTTP/1.1\r\n\r\n", "WARC-Concurrent-To: <urn:x:1>", "WARC-Concurrent-To: <urn:x:2>"),
+        foreign("response", message, "Content-Type: application/http; msgtype=response", f"WARC-Payload-Digest: sha1:{sha}", "WARC-Target-URI: http://a/", version="1.1", date="2019-03-04T05:06:07.123456Z"),
+        foreign("response", message, "Content-Type: application/http", f"WARC-Payload-Digest: sha1:{warc.digest(body)}"),
+        foreign("response", b"no digest", version="1.1"),
+        foreign("metadata", b"k: v", f"WARC-Block-Digest: sha256:{hexed}", "X-Long: one", "  two", "WARC-Payload-Digest: blake3:unknown"),
+        foreign("revisit", b"HTTP/1.1 304 Not Modified\r\n\r\n", "WARC-Profile: http://p", "WARC-Refers-To: <urn:uuid:1>", f"WARC-Payload-Digest: sha1:{sha}"),
+        foreign("continuation", b"part", "WARC-Segment-Number: 2", f"WARC-Payload-Digest: sha1:{sha}"),
+        foreign("novel", b""),
+    ]
+    words = b"".join(records)
+    plain, skip = zstandard.ZstdCompressor().compress, struct.pack("<II", 0x184D2A51, 3) + b"abc"
+    known = zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(words)).compress
+    packed = plain(words)
+    archives = {
+        "none": b"".join(plain(r) for r in records),
+        "skips": skip + b"".join(plain(r) + skip for r in records),
+        "raw": struct.pack("<II", 0x184D2A5D, len(words)) + words + b"".join(map(known, records)),
+        "packed": struct.pack("<II", 0x184D2A5D, len(packed)) + packed + b"".join(map(known, records)),
+    }
+    for name, raw in archives.items():
+        for chunk in (3, 1 << 16):
+            got = list(warc.read_archive(io.BytesIO(raw), chunk))
+            assert [h.first("warc-type") for h, _ in got] == ["warcinfo", "request", "response", "response", "response", "metadata", "revisit", "continuation", "novel"]
+        assert got[1][0]["warc-concurrent-to"] == ["<urn:x:1>", "<urn:x:2>"] and got[5][0]["x-long"] == ["one two"]
+        assert [b for _, b in got[:2]] == [b"software: x\r\n", b"GET / HTTP/1.1\r\n\r\n"]
+        (tmp_path / name).write_bytes(raw)
+    listed = spark.createDataFrame([(n, 9 if n == "raw" else None) for n in archives], "archive string, records long")
+    rows = warc.read_archives(listed, str(tmp_path)).collect()
+    assert len(rows) == 36 and {r.page_id for r in rows} == {None} and sum(r.url == "http://a/" for r in rows) == 4
+    for bad in (
+        foreign("metadata", b"k: w", f"WARC-Block-Digest: sha256:{hexed}"), foreign("response", message, "Content-Type: application/http", f"WARC-Payload-Digest: sha1:{warc.digest(b'x')}"),
+        foreign("revisit", b""), foreign("response", b"", date="yesterday"), foreign("response", b"", "no colon"), foreign("response", b"", "WARC-Date: 2019-03-04T05:06:07Z"),
+    ):
+        with pytest.raises(warc.BadArchive):
+            list(warc.read_archive(io.BytesIO(plain(bad))))
+    for cut in (archives["raw"][:6], archives["raw"][:40], archives["none"][:-3], archives["none"] + b"junk"):
+        with pytest.raises(warc.BadArchive):
+            list(warc.read_archive(io.BytesIO(cut)))
+
+
+def test_warc_trains_its_dictionary():
+    """Records that share much are smaller with a trained dictionary than without; too few keep their beginning."""
+    made = [warc.record(i, f"http://h/{i}", ("<html><body>" + prose(60, i) + "</body></html>").encode(), None, False, "2020-01-01T00:00:00Z") for i in range(400)]
+    words = warc.trained(made)
+    assert words[:4] == b"\x37\xa4\x30\xec" and len(words) <= warc.DICTIONARY_BYTES
+    sizes = []
+    for dictionary in (words, b""):
+        sink = io.BytesIO()
+        archive = warc.Archive(sink, dictionary)
+        for raw in made:
+            archive.add(raw)
+        assert [b for _, b in warc.read_archive(io.BytesIO(sink.getvalue()))] == [warc.parse(r)[1] for r in made]
+        sizes.append(archive.size)
+    assert sizes[0] < 0.8 * sizes[1]
+    assert warc.trained([b"one record only"]) == b"one record only" and warc.trained([]) == b""
+
+
 def test_toxicity_learns_a_pair(spark, docs):
     table, labels = [], []
     for i in range(900):
