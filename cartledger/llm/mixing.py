@@ -11,14 +11,16 @@ whole blocks while the budget lasts. So an emission depends on its document, its
 a few figures by source, and no source is ever sorted or gathered in one task.
 
 Nulls: a null text has no tokens and goes with every pass of its block; a null source is a source of
-its own. Repeated rows are taken each. Empty tables give empty results. All columns are kept.
+its own. Repeated rows are taken each; blocks of equal turn go by number, and emissions of equal key may
+stand in either order. A text of any length counts as one document. Empty tables give empty results.
+All columns are kept.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartledger.session import cut_lineage
@@ -31,7 +33,8 @@ MAX_REPEATS = 2.0
 BLOCKS = 1024
 SEED = 17
 
-_HALVINGS = 60
+#: Five halvings at once: the inner points of as many parts are tried by one aggregation.
+_POINTS, _PASSES = 32, 6
 #: Names of the added columns, and of those used on the way; a column of such a name is replaced.
 ADDED = ("mix_tokens", "mix_pass", "mix_block", "mix_key", "mix_source", "mix_of", "mix_turns", "mix_turn")
 
@@ -41,62 +44,49 @@ def n_tokens(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def weights_at(tokens: list[int], exponent: float) -> list[float]:
-    total = math.fsum(tokens)
-    raised = [(t / total) ** exponent if t else 0.0 for t in tokens]
-    whole = math.fsum(raised)
-    return [r / whole for r in raised]
+def _entropies(shares: DataFrame, exponents: list[float]) -> list[float]:
+    """Entropy of the mix at each exponent, by one aggregation over ``shares`` (x: logarithm of a source's share)."""
+    x = F.col("x")
+    sums = [s for a in exponents for s in (F.sum(F.exp(x * a)), F.sum(F.exp(x * a) * x * a))]
+    found = shares.agg(*[s.alias(f"s{i}") for i, s in enumerate(sums)]).first()
+    return [math.log(whole) - part / whole for whole, part in zip(found[::2], found[1::2], strict=True)]
 
 
-def entropy(weights: list[float]) -> float:
-    return -math.fsum(w * math.log(w) for w in weights if w)
+def exponent_of(shares: DataFrame, evenness: float, max_repeats: float, spread: float) -> float:
+    """The largest exponent in [0, 1] that reaches the entropy, or the least that ``max_repeats`` allows if that is more.
 
-
-def repeats_at(tokens: list[int], exponent: float) -> list[float]:
-    """Passes over each source when none is read less than once."""
-    ratio = [w / t if t else 0.0 for w, t in zip(weights_at(tokens, exponent), tokens, strict=True)]
-    least = min(r for r in ratio if r)
-    return [r / least if r else 1.0 for r in ratio]
-
-
-def _bisect(holds) -> float:
-    """The largest exponent in [0, 1] for which ``holds``, true up to some exponent; 0 if never."""
-    if holds(1.0):
-        return 1.0
-    lo, hi = 0.0, 1.0
-    for _ in range(_HALVINGS):
-        mid = (lo + hi) / 2
-        lo, hi = (mid, hi) if holds(mid) else (lo, mid)
-    return lo
-
-
-def exponent_for(tokens: list[int], evenness: float = TARGET_EVENNESS, max_repeats: float = MAX_REPEATS) -> float:
-    some = [t for t in tokens if t]
-    if len(some) < 2:
+    ``spread`` is the logarithm of the largest source over the smallest: the smallest is read
+    exp((1 - exponent) * spread) times when the largest is read once.
+    """
+    allowed = max(0.0, 1.0 - math.log(max(max_repeats, 1.0)) / spread) if spread > 0 else 0.0
+    target = evenness * math.log(shares.count())
+    if allowed >= 1.0 or _entropies(shares, [1.0])[0] >= target:
         return 1.0
-    target = evenness * math.log(len(some))
-    wanted = _bisect(lambda a: entropy(weights_at(some, a)) >= target)
-    # repeats grow as the exponent falls: the smallest exponent that the limit allows
-    lo, hi = 0.0, 1.0
-    for _ in range(_HALVINGS):
-        mid = (lo + hi) / 2
-        lo, hi = (lo, mid) if max(repeats_at(some, mid)) <= max_repeats else (mid, hi)
-    allowed = 0.0 if max(repeats_at(some, 0.0)) <= max_repeats else hi
-    return max(wanted, allowed)
+    lo, width = 0.0, 1.0
+    for _ in range(_PASSES):
+        width /= _POINTS
+        points = [lo + k * width for k in range(1, _POINTS)]
+        # entropy falls as the exponent grows: the points that reach it come first
+        lo += width * sum(h >= target for h in _entropies(shares, points))
+    return max(lo, allowed)
 
 
 def source_plan(tokens: DataFrame, evenness: float, max_repeats: float) -> DataFrame:
-    """(source, weight, repeats) from (source, tokens): one row for each source passes the driver."""
-    rows = tokens.orderBy(F.col("source").asc_nulls_first()).collect()
-    if not rows:
-        return tokens.sparkSession.createDataFrame([], "of string, weight double, repeats double")
-    counts = [r["tokens"] for r in rows]
-    if not any(counts):
-        planned = [(r["source"], 0.0, 1.0) for r in rows]
-    else:
-        a = exponent_for(counts, evenness, max_repeats)
-        planned = [(r["source"], w, p) for r, w, p in zip(rows, weights_at(counts, a), repeats_at([max(c, 0) for c in counts], a), strict=True)]
-    return tokens.sparkSession.createDataFrame(planned, "of string, weight double, repeats double")
+    """(of, weight, repeats) from (source, tokens), for any number of sources: only sums reach the driver."""
+    tokens = cut_lineage(tokens)
+    some = tokens.where("tokens > 0")
+    whole = some.agg(F.count("*").alias("n"), F.sum("tokens").alias("all"), F.min("tokens").alias("least"), F.max("tokens").alias("most")).first()
+    if not whole["n"]:
+        return tokens.select(F.col("source").alias("of"), F.lit(0.0).alias("weight"), F.lit(1.0).alias("repeats"))
+    shares = some.select(F.log(F.col("tokens") / F.lit(float(whole["all"]))).alias("x"))
+    exponent = 1.0
+    if whole["n"] > 1:
+        exponent = exponent_of(shares, evenness, max_repeats, math.log(whole["most"] / whole["least"]))
+    scale = shares.agg(F.sum(F.exp(F.col("x") * exponent))).first()[0]
+    raised = F.pow(F.col("tokens") / F.lit(float(whole["all"])), F.lit(exponent))
+    weight = F.when(F.col("tokens") > 0, raised / scale).otherwise(0.0)
+    repeats = F.when(F.col("tokens") > 0, F.pow(F.col("tokens") / F.lit(float(whole["most"])), F.lit(exponent - 1.0))).otherwise(1.0)
+    return tokens.select(F.col("source").alias("of"), weight.alias("weight"), repeats.alias("repeats"))
 
 
 def mixed(docs: DataFrame, evenness: float = TARGET_EVENNESS, max_repeats: float = MAX_REPEATS) -> DataFrame:
@@ -115,21 +105,19 @@ def mixed(docs: DataFrame, evenness: float = TARGET_EVENNESS, max_repeats: float
     passes = F.explode(F.sequence(F.lit(0), F.greatest(F.ceil("repeats") - 1, F.lit(0)).cast("int"))).alias("mix_pass")
     dealt = sizes.join(plan, F.col("source").eqNullSafe(F.col("of"))).select("source", "mix_block", "tokens", "repeats", passes)
     turn = F.xxhash64(F.lit(SEED), "source", "mix_pass", "mix_block")
-    blocks = dealt.groupBy("source", "mix_pass", "repeats").agg(
-        F.sum("tokens").alias("all_tokens"),
-        F.array_sort(F.collect_list(F.struct(turn.alias("turn"), "mix_block", "tokens"))).alias("line"),
-    )
-    before = F.expr(
-        "transform(line, (x, i) -> named_struct('mix_block', x.mix_block, 'place', i / size(line),"
-        " 'width', 1D / size(line), 'seen', aggregate(slice(line, 1, i), 0L, (s, y) -> s + y.tokens), 'tokens', x.tokens))"
-    )
+    line = Window.partitionBy("source", "mix_pass")
+    order = line.orderBy(turn, "mix_block")
+    seen = F.coalesce(F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    width = F.lit(1.0) / F.count("*").over(line)
+    dealt = dealt.withColumns({
+        "all_tokens": F.sum("tokens").over(line), "seen": seen, "width": width, "place": (F.row_number().over(order) - 1) * width,
+    })
     room = (F.col("repeats") - F.col("mix_pass")) * F.col("all_tokens")
     taken = (
-        blocks.select("source", "mix_pass", "repeats", room.alias("room"), F.explode(before).alias("b"))
         # a whole pass, or the blocks of which at least half fits
-        .where((F.col("repeats") - F.col("mix_pass") >= 1) | (F.col("b.seen") + F.col("b.tokens") / 2 < F.col("room")))
-        .groupBy(F.col("source").alias("mix_source"), F.col("b.mix_block").alias("mix_of"))
-        .agg(F.array_sort(F.collect_list(F.struct("mix_pass", "b.place", "b.width", "repeats"))).alias("mix_turns"))
+        dealt.where((F.col("repeats") - F.col("mix_pass") >= 1) | (F.col("seen") + F.col("tokens") / 2 < room))
+        .groupBy(F.col("source").alias("mix_source"), F.col("mix_block").alias("mix_of"))
+        .agg(F.array_sort(F.collect_list(F.struct("mix_pass", "place", "width", "repeats"))).alias("mix_turns"))
     )
     joined = docs.join(cut_lineage(taken), F.col("source").eqNullSafe(F.col("mix_source")) & (F.col("mix_block") == F.col("mix_of")))
     u = F.pmod(F.xxhash64(F.lit(SEED + 1), "doc_id", "mix_turn.mix_pass"), F.lit(1 << 30)) / float(1 << 30)
