@@ -10,8 +10,9 @@ Rows are numbered without a global sort in one task: ranges of the sort key are
 each range starts at the sum of the counts before it.
 
 Nulls: a null text has no bytes and its rows form no group; a null doc_id sorts first. Repeated rows
-are rows of their own and group by their equal text. Empty tables give empty results. Columns other
-than doc_id and text are not read.
+are rows of their own and group by their equal text; which of them has which slot is open. Of equally many
+neighbours the lowest shard wins. A text of any length is one row. Empty tables give empty results.
+Columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -35,9 +36,11 @@ LAW = "rows"
 def numbered(df: DataFrame, name: str, group: str | None, *order: Column | str) -> DataFrame:
     """Adds ``name``: 0, 1, ... in ``order``, for each ``group`` on its own if given.
 
-    The table is cut twice; only counts by range and group reach the driver: with one group a row for
-    each task, else as many more as groups meet in a range.
+    Equal rows are told apart by a salt, so that many of them fill several ranges. Only counts by range and
+    group reach the driver: with one group a row for each task, else as many more as groups meet in a range.
     """
+    names, df = df.columns, df.withColumn("salt_", F.rand(11))
+    order = (*order, "salt_")
     keys = ([group] if group else []) + list(order)
     tasks = df.sparkSession.sparkContext.defaultParallelism
     tasks = max(tasks, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
@@ -55,7 +58,7 @@ def numbered(df: DataFrame, name: str, group: str | None, *order: Column | str)
     own = F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1
     on = (F.col("range_") == F.col("r_")) & (F.col("g_") == (F.col(group) if group else F.lit(0)))
     # as many rows as ranges and groups, at most tasks x shards
-    return ranged.withColumn("own_", own).join(F.broadcast(starts), on).select(*df.columns, (F.col("own_") + F.col("start_")).cast("long").alias(name))
+    return ranged.withColumn("own_", own).join(F.broadcast(starts), on).select(*names, (F.col("own_") + F.col("start_")).cast("long").alias(name))
 
 
 def shares(n: int, shards: int) -> list[int]:
@@ -149,6 +152,7 @@ def sharded(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> Data
     marked = moved.join(tied.select("node", "group", F.col("hub").isNotNull().alias("linked")), "node")
     final = levelled(marked, n, shards)
     placed = rows.join(final, "node")
-    return numbered(placed, "slot", "shard", "node").select(
+    # slots run in a hash order: copies of a row stand apart, and every stretch of a shard holds its sources in their shares
+    return numbered(placed, "slot", "shard", F.xxhash64("node", F.lit(7)), "node").select(
         "doc_id", "size", "text_crc32", F.lit(LAW).alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
