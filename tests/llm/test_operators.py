@@ -151,16 +151,90 @@ def test_components_of_a_long_chain(spark):
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100}
 
 
+def plain_weights(tokens, exponent):
+    raised = [(t / sum(tokens)) ** exponent if t else 0.0 for t in tokens]
+    return [r / sum(raised) for r in raised]
+
+
+def plain_repeats(tokens, exponent):
+    ratio = [w / t if t else 0.0 for w, t in zip(plain_weights(tokens, exponent), tokens, strict=True)]
+    return [r / min(x for x in ratio if x) if r else 1.0 for r in ratio]
+
+
+def plain_entropy(weights):
+    return -sum(w * np.log(w) for w in weights if w)
+
+
+def plain_exponent(tokens, evenness, most):
+    """By halving, once for the entropy and once for the repeats."""
+    some = [t for t in tokens if t]
+    if len(some) < 2:
+        return 1.0
+    found = []
+    for fits, grows in (
+        (lambda a: plain_entropy(plain_weights(some, a)) >= evenness * np.log(len(some)), False),
+        (lambda a: max(plain_repeats(some, a)) <= most, True),
+    ):
+        lo, hi = 0.0, 1.0
+        for _ in range(50):
+            mid = (lo + hi) / 2
+            lo, hi = (lo, mid) if fits(mid) == grows else (mid, hi)
+        found.append((1.0 if not grows and fits(1.0) else 0.0 if grows and fits(0.0) else lo))
+    return max(found)
+
+
+@pytest.mark.parametrize("tokens, evenness, most", [
+    ([1000, 100, 10, 1], 0.8, 1e9), ([1000, 100, 10, 1], 1.0, 2.0), ([7, 7, 7], 0.95, 2.0), ([5, 0], 0.95, 2.0), ([0, 0], 0.95, 2.0),
+    ([10**12, 3, 10**6, 0, 50], 0.95, 4.0), ([900, 800, 1000], 0.5, 2.0), ([100, 10], 0.95, 1.0),
+])
+def test_mixing_plan_is_that_of_plain_halving(spark, tokens, evenness, most):
+    df = spark.createDataFrame([(f"s{i}" if i else None, t) for i, t in enumerate(tokens)], "source string, tokens long")
+    got = {r.of: (r.weight, r.repeats) for r in mixing.source_plan(df, evenness, most).collect()}
+    a = plain_exponent(tokens, evenness, most)
+    if any(tokens):
+        want = list(zip(plain_weights(tokens, a), plain_repeats(tokens, a), strict=True))
+    else:
+        want = [(0.0, 1.0)] * len(tokens)
+    for i, pair in enumerate(want):
+        assert got[f"s{i}" if i else None] == pytest.approx(pair, rel=1e-6)
+
+
+def test_mixture_against_plain_python(spark, docs):
+    """Blocks and turns by hashes that Spark tells; budget, order and keys in plain Python."""
+    spark.createDataFrame([(None, p, b, s) for p in range(4) for b in range(mixing.BLOCKS) for s in ("s1", "s2", None)], "x int, p int, b int, s string").createOrReplaceTempView("turns")
+    turns = {(r.s, r.p, r.b): r.t for r in spark.sql(f"SELECT s, p, b, xxhash64({mixing.SEED}, s, p, b) AS t FROM turns").collect()}
+    hashed = docs.selectExpr("doc_id", "text", "source", f"pmod(xxhash64({mixing.SEED}, doc_id, text), {mixing.BLOCKS}) AS block",
+                             *[f"pmod(xxhash64({mixing.SEED + 1}, doc_id, {p}), {1 << 30}) / {1 << 30} AS u{p}" for p in range(4)]).collect()
+    sizes = Counter()
+    for r in hashed:
+        sizes[r.source, r.block] += len(words(r.text))
+    sources = sorted({s for s, _ in sizes}, key=repr)
+    totals = [sum(n for (s, _), n in sizes.items() if s == x) for x in sources]
+    repeats = dict(zip(sources, plain_repeats(totals, plain_exponent(totals, 0.99, 3.0)), strict=True))
+    keys = {}
+    for source, total in zip(sources, totals, strict=True):
+        for p in range(max(1, int(np.ceil(repeats[source])))):
+            line = sorted((turns[source, p, b], b) for s, b in sizes if s == source)
+            seen = 0
+            for i, (_, b) in enumerate(line):
+                left = repeats[source] - p
+                if left >= 1 or seen + sizes[source, b] / 2 < left * total:
+                    keys.setdefault((source, b), []).append((p, i / len(line), 1 / len(line)))
+                seen += sizes[source, b]
+    want = []
+    for r in hashed:
+        for p, place, width in keys.get((r.source, r.block), ()):
+            want.append((r.doc_id, r.source, len(words(r.text)), p, r.block, round((p + place + r[f"u{p}"] * width) / repeats[r.source], 6)))
+    got = [(r.doc_id, r.source, r.n_tokens, r.mix_pass, r.mix_block, round(r.mix_key, 6)) for r in mixing.mixture(docs, 0.99, 3.0).collect()]
+    assert max(repeats.values()) > 1.5 and sorted(got, key=repr) == sorted(want, key=repr)
+
+
 def test_mixing_bisects_and_realises(spark, docs, none):
-    tokens = [1000, 100, 10, 1]
-    a = mixing.exponent_for(tokens, 0.8, 1e9)
-    assert abs(mixing.entropy(mixing.weights_at(tokens, a)) - 0.8 * np.log(4)) < 1e-6
-    assert max(mixing.repeats_at(tokens, mixing.exponent_for(tokens, 1.0, 2.0))) <= 2.0 + 1e-6
     table = [(i, prose(30, i), "big" if i % 10 else "small") for i in range(3000)]
     got = mixing.mixture(spark.createDataFrame(table, "doc_id long, text string, source string"), 0.9, 3.0)
     seen = {r.source: (r.n, r.d) for r in got.groupBy("source").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("d")).collect()}
-    a = mixing.exponent_for([2700 * 30, 300 * 30], 0.9, 3.0)
-    repeats = mixing.repeats_at([2700 * 30, 300 * 30], a)[1]
+    a = plain_exponent([2700 * 30, 300 * 30], 0.9, 3.0)
+    repeats = plain_repeats([2700 * 30, 300 * 30], a)[1]
     assert seen["big"] == (2700, 2700) and seen["small"][1] == 300 and abs(seen["small"][0] / 300 - repeats) < 0.03
     out = mixing.mixed(docs)
     assert set(docs.columns) < set(out.columns)
@@ -351,6 +425,27 @@ def test_url_filter(spark):
     assert url_filter.judged(df.limit(0), []).isEmpty()
 
 
+def test_url_filter_routes_probes(spark, monkeypatch):
+    """Many rules in several segments, long URLs, and a host with rules of many lengths, against a plain search."""
+    monkeypatch.setattr(url_filter, "SEGMENT_RULES", 100)
+    r = np.random.default_rng(5)
+    hosts = [f"h{i}.site{i % 50}.org" for i in range(200)] + ["big.net", "ünï.de"]
+    rules = {f"{h}/{'x' * int(r.integers(0, 4))}": ["allow", "block"][int(r.integers(2))] for h in hosts}
+    rules |= {f"big.net/{'y' * n}/": "block" for n in range(60)}
+    urls = [f"http://{a}{h}/{p}" for h in hosts for a in ("", "www.") for p in ("", "xx", "xxx/y", "y/")] + ["http://big.net/" + "y" * 59 + "/" + "z" * 2_000_000, "http://h1.site1.org.", "http://..big.net/y/"]
+    given = spark.createDataFrame([*rules.items(), ("big.net", "block"), ("big.net/y/", "allow"), (None, "block")], "rule string, verdict string")
+    want = []
+    for i, u in enumerate(urls):
+        host, path = url_filter.host_and_path(u)
+        fits = [x for x in rules if (lambda h, p: (host == h or host.endswith("." + h)) and path.startswith("/" + p))(*x.split("/", 1))]
+        rule = max(fits, key=len, default=None)
+        want.append((i, host, path, rule, rules.get(rule, "allow")))
+    segments = url_filter.build(given)
+    assert len(segments) > 3
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    assert collected(url_filter.judged(df, segments)) == sorted(want, key=repr)
+
+
 def test_url_filter_confirms_strings(tmp_path):
     """Equal digests of different strings: the stored string decides."""
     texts = [b"block\tx/", b"allow\ty/"]
@@ -385,6 +480,15 @@ def test_sharding(spark, docs, none):
     assert sharding.sharded(none).isEmpty()
 
 
+def test_sharding_of_many_equal_rows(spark):
+    """A third of the rows are equal: numbering deals them to several tasks, and slots stay gapless."""
+    df = spark.createDataFrame([(5, "same") if i % 3 == 0 else (i, f"t{i}") for i in range(6000)], "doc_id long, text string")
+    part = sharding.numbered(df, "n", None, "doc_id", "text").where("text = 'same'").groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in part) < 1500 and sum(r["count"] for r in part) == 2000
+    got = sharding.sharded(df).toPandas().groupby("shard")["slot"].agg(["count", "min", "max", "nunique"])
+    assert len(got) == 24 and set(got["count"]) == {250} and set(got["max"]) == {249} and set(got["nunique"]) == {250}
+
+
 def test_decontamination_of_greek_capitals_without_blanks(spark):
     """A capital sigma ends every word; lower case would depend on what follows."""
     letters = "ΑΒΓΔΕΖΗΘΙΚΛΜ"
