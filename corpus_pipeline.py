@@ -32,8 +32,14 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, and one row of it: repeats have equal id and text."""
-    return _only(docs, near_dedup.survivors(docs)).dropDuplicates(["doc_id", "text"])
+    """One document of each group of near copies, and one row of it: repeats have equal id and text.
+
+    Of such repeats the row whose other columns are least stays.
+    """
+    kept, rest = _only(docs, near_dedup.survivors(docs)), [c for c in docs.columns if c not in ("doc_id", "text")]
+    if not rest:
+        return kept.distinct()
+    return kept.groupBy("doc_id", "text").agg(F.min(F.struct(*rest)).alias("rest_")).select("doc_id", "text", "rest_.*").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
