@@ -1,4 +1,10 @@
-"""The corpus pipeline: quality, near-dedup, decontamination, mixing, sharding."""
+"""The corpus pipeline: quality, near-dedup, decontamination, mixing, sharding.
+
+Every stage judges whole texts of any length. A null text has no words: quality rejects it as it rejects
+all short texts; a stage that gets one keeps it. A null doc_id, lang or source is a value like any other. Rows that repeat
+share their fate, but for near-dedup, where one row of equal id and text stays. Ties of near copies go to the
+smallest doc_id, those of shards to the lowest. Empty tables stay empty, and columns of any other name pass through.
+"""
 
 from __future__ import annotations
 
