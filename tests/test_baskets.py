@@ -94,3 +94,41 @@ def test_basket_tables_write_only_what_a_report_asks_for(spark, monkeypatch):
     assert [c[0] for c in written] == ["canonical_id", "basket_id", "source"] and "price_id" not in sum(written, [])
     tables.missing_masks
     assert len(written) == 3
+
+
+def test_rows_per_source_are_not_shuffled(spark):
+    """Offers meet the lines after these are dealt by basket; nothing moves after the explode. Repeated lines add up."""
+    from cartledger.session import cut_lineage
+
+    lines = [*MILK_EGGS, (1, 1, "milk", 2), (2, 1, "milk", None), (2, 9, "ghost", 1)]
+    _, items, offers = sheet(spark, [(1, "kr", 3.0, 1.0), (2, "kr", 4.0, 0.9), (1, "wf", 1.0, 1.0)], lines)
+    offers = cut_lineage(offers)
+    s = B.basket_sheet(items, offers)
+    for df in (s, B.store_ranking(s), B.verdict(s), B.optimize_basket(s), B.basket_store_totals(items, offers)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan[:plan.index("Generate")]
+    rows = {(r.basket_id, r.source): r for r in s.collect()}
+    assert set(rows) == {(1, "kr"), (1, "wf"), (2, "kr"), (2, "wf"), (2, None)}
+    kr = rows[1, "kr"]
+    assert (kr.covered_flexible, kr.cents_flexible, kr.covered_exact, kr.cents_exact) == (3, 1300, 2, 900)
+    assert (sum(rows[1, x].n_items for x in ("kr", "wf")), rows[1, "wf"].best_lines) == (3, 2)
+    assert (rows[2, "kr"].covered_flexible, rows[2, "kr"].cents_flexible, rows[2, None].n_items) == (1, None, 1)
+    totals = {(r.basket_id, r.source): (r.items_covered, r.store_total) for r in B.basket_store_totals(items, offers).collect()}
+    assert totals[1, "kr"] == (3, 13) and totals[2, "wf"] == (1, None)
+
+
+def test_provenance_names_the_first_ids_without_gathering_all(spark):
+    gold = spark.createDataFrame(
+        [(1, f"a{i}", "2026-01-01") for i in range(5)] + [(2, "a0", "2026-02-01"), (2, "a00", None), (3, None, "2026-03-01")],
+        "canonical_id bigint, price_id string, ad_week string",
+    )
+    items = spark.createDataFrame([(1, 1), (1, 2), (1, 2), (2, 9), (3, 3)], "basket_id bigint, canonical_id bigint")
+    full = {r.basket_id: r for r in B.provenance(items, gold).collect()}
+    assert full[1].price_ids == ["a0", "a0", "a00", "a1", "a2", "a3", "a4"]
+    assert (full[1].n_price_ids, full[1].ad_week) == (7, "2026-02-01")
+    assert (full[2].n_price_ids, full[2].price_ids, full[3].n_price_ids, full[3].price_ids) == (0, None, 0, [])
+    first = {r.basket_id: r for r in B.provenance(items, gold, ids=3).collect()}
+    assert first[1].price_ids == full[1].price_ids[:3] and first[1].n_price_ids == 7
+    assert (first[2].price_ids, first[3].price_ids) == (None, [])
+    unread = B.provenance(items, gold).drop("price_ids")._jdf.queryExecution().optimizedPlan().toString()
+    assert unread.count("Join") == 1 and "collect_list" not in unread
