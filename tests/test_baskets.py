@@ -132,3 +132,49 @@ def test_provenance_names_the_first_ids_without_gathering_all(spark):
     assert (first[2].price_ids, first[3].price_ids) == (None, [])
     unread = B.provenance(items, gold).drop("price_ids")._jdf.queryExecution().optimizedPlan().toString()
     assert unread.count("Join") == 1 and "collect_list" not in unread
+
+
+def test_tasks_grow_with_the_rows_that_lines_become(spark, monkeypatch):
+    """Twenty lines of a product of two sources are forty rows; few rows keep the usual number of tasks."""
+    from cartledger.session import cut_lineage
+
+    lines = [(basket, 1, "milk", 1) for basket in range(20)]
+    _, items, offers = sheet(spark, [(1, "kr", 3.0, 1.0), (1, "wf", 1.0, 1.0)], lines)
+    dealt = cut_lineage(B.basket_list(items))
+    assert B.basket_tasks(dealt, offers) == 16
+    monkeypatch.setattr(B, "ROWS_A_TASK", 1)
+    assert B.basket_tasks(dealt, offers) == 40
+    for rows in (B.basket_sheet(items, offers), B.basket_store_totals(items, offers)):
+        assert "40), REPARTITION_BY_NUM" in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_with_all_ids_are_neither_shuffled_nor_sorted(spark):
+    gold = spark.createDataFrame([(1, "b", "2026-01-01"), (1, "a", "2026-01-08"), (2, "c", None)],
+                                 "canonical_id bigint, price_id string, ad_week string")
+    items = spark.createDataFrame([(1, 2), (1, 1), (1, 1), (2, 1), (None, 2), (3, None)], "basket_id bigint, canonical_id bigint")
+    rows = B.provenance(items, gold, tasks=3)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    above = plan[:plan.index("BroadcastHashJoin")]
+    assert not [word for word in ("Exchange", "Sort", "Aggregate") if word in above]
+    assert {r.basket_id: (r.ad_week, r.n_price_ids, r.price_ids) for r in rows.collect()} == {
+        1: ("2026-01-08", 3, ["a", "b", "c"]), 2: ("2026-01-08", 2, ["a", "b"]), None: (None, 1, ["c"]), 3: (None, 0, None)}
+
+
+def test_packs_keep_the_rows_of_a_basket_where_they_were_dealt(spark):
+    import json
+
+    from cartledger.plans import narration as N
+    from cartledger.plans.baskets import basket_tables
+
+    gold = spark.createDataFrame([(1, "milk", "kr", "1", None, None, None, 1.0, "a")], GOLD).selectExpr("*", "date'2026-01-01' AS ad_week")
+    gold = gold.selectExpr("canonical_id", "canonical_name", "inline(array(struct('kr' AS source, 3.00BD AS price), struct('wf' AS source, 1.00BD AS price)))",
+                           "store_id", "unit_price", "unit", "match_confidence", "price_id", "ad_week")
+    items = spark.createDataFrame([*MILK_EGGS, (1, 7, "bread", 1), (2, 1, "milk", 1)], "basket_id bigint, canonical_id bigint, label string, quantity bigint")
+    sources = spark.createDataFrame([("kr", "Kr")], "source string, banner string")
+    t = basket_tables(items, gold)
+    packs = N.fact_pack(t.ranking, t.missing_flexible, t.verdict, sources, t.provenance)
+    plan = packs._jdf.queryExecution().executedPlan().toString()
+    assert "mode#" not in "".join(x for x in plan.splitlines() if "Exchange hashpartitioning" in x)
+    facts = {r.basket_id: json.loads(r.facts) for r in packs.collect()}
+    assert [(x["store"], x["missing_labels"]) for x in facts[1]["other_stores"]] == [("wf", ["bread", "eggs"]), ("Kr", ["bread", "eggs"])]
+    assert facts[2]["winner"]["missing_labels"] == [] and facts[2]["_provenance"]["price_ids"] == ["a", "a"]
