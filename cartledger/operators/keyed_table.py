@@ -20,6 +20,8 @@ from . import state
 from .gold import latest_prices
 
 PART = "key_part"
+#: States repeat the arrival keys behind each value, which zstd packs more tightly than the default.
+COMPRESSION = "zstd"
 Merge = Callable[[DataFrame, DataFrame], DataFrame]
 
 
@@ -37,11 +39,16 @@ class KeyedTable:
 
     @property
     def part(self) -> Column:
-        return F.pmod(F.xxhash64(*self.keys), F.lit(self.parts)).cast("int")
+        # the hash that rows are dealt by (see ``_dealt``), so that a task holds one partition
+        return F.pmod(F.hash(*self.keys), F.lit(self.parts)).cast("int")
+
+    def _dealt(self, rows: DataFrame) -> DataFrame:
+        """One task for each partition; a partition is a share of a hash, so none is hot."""
+        return rows.repartition(self.parts, *self.keys)
 
     def create(self, rows: DataFrame) -> None:
         """Write the table anew from rows of unique keys."""
-        self._write(rows, "static")
+        self._write(self._dealt(rows), "static")
 
     def read(self, touched: list[int] | None = None) -> DataFrame:
         rows = self.spark.read.schema(f"{self.schema}, {PART} int").parquet(self.path)
@@ -52,19 +59,26 @@ class KeyedTable:
     def upsert(self, changes: DataFrame, merge: Merge) -> list[int]:
         """Replace the partitions that ``changes`` touch by ``merge(their rows, changes)``; gives their numbers, of which
         there are at most ``parts``."""
-        changes = cut_lineage(changes)
+        changes = cut_lineage(changes, COMPRESSION)
         touched = sorted(r[0] for r in changes.select(self.part.alias(PART)).distinct().collect())
         if touched:
-            merged = cut_lineage(merge(self.read(touched), changes))
+            self._same_hash()
+            # both are dealt before the merge, which groups by the keys: it moves nothing, nor does the write after it
+            merged = cut_lineage(merge(self._dealt(self.read(touched)), self._dealt(changes)), COMPRESSION)
             self._write(merged, "dynamic")
             release(merged)
         release(changes)
         return touched
 
+    def _same_hash(self) -> None:
+        """Some rows tell whether the table was dealt by this hash; by another, changes would miss the rows they replace."""
+        some = self.spark.read.schema(f"{self.schema}, {PART} int").parquet(self.path).limit(100)
+        if not some.filter(F.col(PART) != self.part).isEmpty():
+            raise ValueError(f"{self.path} was dealt by another hash or number of partitions: create it anew")
+
     def _write(self, rows: DataFrame, mode: str) -> None:
-        # one task for each partition; a partition is a share of a hash, so none is hot
-        dealt = rows.withColumn(PART, self.part).repartition(self.parts, PART)
-        dealt.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(PART).parquet(self.path)
+        dealt = rows.withColumn(PART, self.part)
+        dealt.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(PART).parquet(self.path, compression=COMPRESSION)
 
 
 def upsert_sightings(table: KeyedTable, seen: DataFrame, arrival: list[str]) -> list[int]:
