@@ -13,17 +13,24 @@ DEPTH = 128
 
 
 def _suffix_order(symbols: np.ndarray) -> np.ndarray:
-    """Suffixes by their first DEPTH symbols (doubling), ties by place."""
+    """Suffixes by their first DEPTH symbols, in any order where these are equal.
+
+    Ranks by a prefix are put together to ranks by one as many times longer as ranks fit into 63 bits.
+    """
     n = len(symbols)
     rank, width = symbols.astype(np.int64), 1
     while True:
-        after = np.zeros(n, np.int64)
-        after[: max(0, n - width)] = rank[width:] + 1
-        key = rank * (int(rank.max(initial=0)) + 2) + after
-        order = np.argsort(key, kind="stable")
-        fresh = np.empty(n, np.int64)
-        fresh[order] = np.concatenate([[0], np.cumsum(np.diff(key[order]) != 0)]) if n else key
-        rank, width = fresh, width * 2
+        bits = max(1, (int(rank.max(initial=0)) + 1).bit_length())
+        times = min(max(2, 63 // bits), -(-DEPTH // width))
+        key = rank + 1
+        for i in range(1, times):
+            key <<= bits
+            key[: max(0, n - i * width)] |= rank[i * width :] + 1
+        order = np.argsort(key)
+        sorted_ = key[order]
+        rank = np.empty(n, np.int64)
+        rank[order] = np.concatenate([[0], np.cumsum(sorted_[1:] != sorted_[:-1])]) if n else key
+        width *= times
         if width >= DEPTH or (n and rank[order[-1]] == n - 1):
             return order
 
