@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from cartledger.session import cut_lineage
 
 from .fm_index import FMIndex
-from .texts import Words, gram_hashes, mix, ranges, slices, text_buffer
+from .texts import Words, _powers, gram_hashes, mix, ranges, slices, text_buffer
 
 WINDOW, GRAM = 50, 12
 #: Windows that hold an anchor: one for each place it may have.
@@ -43,6 +43,7 @@ PLACES = WINDOW - GRAM + 1
 SHARD_CONTEXTS, ANCHOR_CONTEXTS = 16_000, 2_000
 
 _BASE = 0xD1342543DE82EF95
+_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 _ALL = (1 << PLACES) - 1
 
 
@@ -80,12 +81,11 @@ class Anchors:
         self.lo = np.maximum(self.place - (PLACES - 1), begin)
         self.hi = np.minimum(self.place + WINDOW, end)
         self.left = self.place - self.lo
-        powers = np.cumprod(np.full(WINDOW + PLACES, np.uint64(_BASE), np.uint64))
-        code = np.zeros(len(self.lo), np.uint64)
+        # sum of hashes[lo + j] * _BASE**(j + 1) over the context, from running sums
+        total = np.zeros(len(hashes) + 1, np.uint64)
+        np.cumsum(hashes * _powers(_BASE, len(hashes)), out=total[1:])
+        code = (total[self.hi] - total[self.lo]) * np.uint64(_BASE) * _powers(_BASE_INVERSE, len(hashes) + 1)[self.lo]
         size = self.hi - self.lo
-        for j in range(int(size.max(initial=0))):
-            m = j < size
-            code[m] += hashes[self.lo[m] + j] * powers[j]
         #: One number for each context and its anchor's place in it.
         self.context = (mix(code + mix((self.left * 256 + size).astype(np.uint64))) >> np.uint64(1)).astype(np.int64)
         self.hashes = hashes
