@@ -73,6 +73,29 @@ def test_a_delivery_is_known_again(spark):
     assert spark.read.parquet(f"{root}/artifacts").count() == 2
 
 
+def test_a_payload_is_parsed_once(spark, monkeypatch):
+    """Prices and sightings read the same records; what becomes of an artifact needs no join."""
+    incoming, root, parsed = tempfile.mkdtemp(), tempfile.mkdtemp(), spark.sparkContext.accumulator(0)
+    drop(incoming, "a", artifact(1, 0, product("1", "Milk", 3.0), product("2", "Cream", 2.0)), artifact(2, 0, payload="oops"),
+         artifact(3, 0, source="elsewhere"), artifact(None, 0, product("3", "Rice", 1.0)))
+    parse = I.parse_artifacts
+
+    def counted(artifacts):
+        def count(frames):
+            for frame in frames:
+                parsed.add(len(frame))
+                yield frame
+
+        records = parse(artifacts)
+        return records.mapInPandas(count, records.schema)
+
+    monkeypatch.setattr(I, "parse_artifacts", counted)
+    I.ingest_stream(spark, incoming, root).awaitTermination()
+    assert parsed.value == 3 == I.ingested_prices(spark, root).count() == I.ingested_products(spark, root).count()
+    log = {r.manifest_id: r.parse_status for r in spark.read.parquet(f"{root}/artifacts").collect()}
+    assert log == {1: "parsed", 2: "failed", 3: "pending", None: "pending"}
+
+
 def test_equal_rows_of_a_payload_stay_apart(spark):
     """Two equal rows without sku, and two whose prices differ by which one is null."""
     schema = " ".join(I.ARTIFACT_SCHEMA.split())
