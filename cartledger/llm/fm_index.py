@@ -10,6 +10,8 @@ import numpy as np
 
 #: Longest pattern that may be searched.
 DEPTH = 128
+#: Occurrences of a pattern, at most, that are located and read on in the text instead of the wavelet matrix.
+FEW = 16
 
 
 def _suffix_order(symbols: np.ndarray) -> np.ndarray:
@@ -58,7 +60,7 @@ class FMIndex:
     def __init__(self, symbols: np.ndarray, owners: np.ndarray):
         order = _suffix_order(symbols)
         last = symbols[order - 1]  # of place 0, the last symbol: the sequence ends in a separator
-        self.n = len(symbols)
+        self.n, self.symbols, self.order = len(symbols), symbols, order
         sigma = int(symbols.max(initial=0)) + 1
         self.less = np.concatenate([[0], np.cumsum(np.bincount(symbols, minlength=sigma))]).astype(np.int64)
         self.levels, self.shifts = [], list(range(max(1, (sigma - 1).bit_length()) - 1, -1, -1))
@@ -112,5 +114,21 @@ class FMIndex:
             live, low, high = live[some], low[some], high[some]
             lo[live], hi[live] = low, high
             place[live] -= 1
+            few = high - low <= FEW
+            self._read_on(text, live[few], low[few], high[few], place, starts, below)
+            live = live[~few]
             live = live[place[live] >= starts[live]]
         return place
+
+    def _read_on(self, text, rows, low, high, place, starts, below) -> None:
+        """Moves ``place`` of each pattern on while one of its occurrences, in rows [low, high), goes on like it."""
+        count = high - low
+        row = np.repeat(rows, count)
+        found = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
+        fits = self.least[0][found] < below[row]
+        row, at = row[fits], self.order[found[fits]]
+        while len(row):
+            # before the first symbol comes the last, a separator
+            goes = np.flatnonzero((place[row] >= starts[row]) & (self.symbols[at - 1] == text[place[row]]))
+            row, at = row[goes], at[goes] - 1
+            place[row] = place[row] - 1  # once, however many occurrences go on

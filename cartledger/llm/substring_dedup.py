@@ -127,9 +127,10 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeats_in_shard(shard: pd.DataFrame) -> pd.DataFrame:
     """context, mask: bit b for the window that starts PLACES - 1 - b words before the anchor.
 
-    Each context is streamed through the index of all. With its windows lo..hi open, the search for
-    window lo either fails at a place, behind which the next open window starts, or succeeds;
-    then the longest interval from lo on is sought by halving, and closes all windows in it.
+    Each context is streamed through the index of all. With its windows lo..hi open, all words of windows lo..last are
+    sought from their end, ``last`` being hi at first. If they stand, the windows are closed. If the search fails at a place,
+    the words behind it stand, and the next search ends at the place, or else takes window lo alone; if that
+    fails at a place, the next open window starts behind it. After a window that stands alone ``last`` moves on by strides.
     """
     shard = shard.sort_values(["first_doc", "context"], kind="stable")
     each = [np.frombuffer(w, np.uint64) for w in shard["words"]]
@@ -152,26 +153,29 @@ def repeats_in_shard(shard: pd.DataFrame) -> pd.DataFrame:
     def stands(rows: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return index.reach(text, begin[rows] + a, begin[rows] + b, rank[rows]) - begin[rows]
 
+    def mark(rows: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+        mask[rows] |= ((np.int64(1) << (b - a + 1)) - 1) << (a + PLACES - 1 - left[rows])
+
+    last, stride = hi.copy(), np.full(len(shard), PLACES)
     while len(live):
-        a = lo[live]
-        stop = stands(live, a, a + WINDOW)
-        failed = stop >= a
-        lo[live[failed]] = stop[failed] + 1
-        rows = live[~failed]
-        least, most = lo[rows].copy(), hi[rows].copy()  # windows least stand; is it all up to most?
-        probe = most.copy()
-        todo = np.flatnonzero(least < most)
-        while len(todo):
-            r = rows[todo]
-            holds = stands(r, lo[r], probe[todo] + WINDOW) < lo[r]
-            least[todo[holds]] = probe[todo[holds]]
-            most[todo[~holds]] = probe[todo[~holds]] - 1
-            todo = todo[least[todo] < most[todo]]
-            probe[todo] = (least[todo] + most[todo] + 1) // 2
-        shift = PLACES - 1 - left[rows]
-        count = least - lo[rows] + 1
-        mask[rows] |= ((np.int64(1) << count) - 1) << (lo[rows] + shift)
-        lo[rows] = least + 1
+        stop = stands(live, lo[live], last[live] + WINDOW)
+        holds = stop < lo[live]
+        rows = live[holds]
+        mark(rows, lo[rows], last[rows])
+        lo[rows] = last[rows] + 1
+        last[rows] = np.minimum(hi[rows], lo[rows] + stride[rows])
+        stride[rows] *= 4
+        rows, stop = live[~holds], stop[~holds]
+        one = last[rows] == lo[rows]  # a window that fails: so do all that hold the place and end behind it
+        lo[rows[one]] = stop[one] + 1
+        last[rows[one]], stride[rows[one]] = hi[rows[one]], PLACES
+        rows, stop = rows[~one], stop[~one]
+        tail = (stop < last[rows]) & (last[rows] == hi[rows])  # windows behind the place stand
+        mark(rows[tail], stop[tail] + 1, hi[rows[tail]])
+        hi[rows[tail]] = stop[tail]
+        before = stop - WINDOW >= lo[rows]  # next, what ends at the place; else the first window by itself
+        last[rows] = np.where(before, stop - WINDOW, lo[rows])
+        stride[rows] = np.where(before, PLACES, 1)
         live = live[lo[live] <= hi[live]]
     some = mask != 0
     return pd.DataFrame({"context": shard["context"].to_numpy()[some], "mask": mask[some]})
