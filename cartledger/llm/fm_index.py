@@ -11,7 +11,7 @@ import numpy as np
 #: Longest pattern that may be searched.
 DEPTH = 128
 #: Occurrences of a pattern, at most, that are located and read on in the text instead of the wavelet matrix.
-FEW = 16
+FEW = 64
 
 
 def _suffix_order(symbols: np.ndarray) -> np.ndarray:

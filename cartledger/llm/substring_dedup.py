@@ -128,9 +128,9 @@ def repeats_in_shard(shard: pd.DataFrame) -> pd.DataFrame:
     """context, mask: bit b for the window that starts PLACES - 1 - b words before the anchor.
 
     Each context is streamed through the index of all. With its windows lo..hi open, all words of windows lo..last are
-    sought from their end, ``last`` being hi at first. If they stand, the windows are closed. If the search fails at a place,
-    the words behind it stand, and the next search ends at the place, or else takes window lo alone; if that
-    fails at a place, the next open window starts behind it. After a window that stands alone ``last`` moves on by strides.
+    sought from their end, ``last`` being hi at first. If they stand, the windows are closed and ``last`` moves on by a growing
+    stride. If the search fails at a place, the words behind it stand; the next search ends at the place, or else
+    takes window lo alone. If that fails at a place, the next open window starts behind it, and is taken alone.
     """
     shard = shard.sort_values(["first_doc", "context"], kind="stable")
     each = [np.frombuffer(w, np.uint64) for w in shard["words"]]
@@ -164,18 +164,18 @@ def repeats_in_shard(shard: pd.DataFrame) -> pd.DataFrame:
         mark(rows, lo[rows], last[rows])
         lo[rows] = last[rows] + 1
         last[rows] = np.minimum(hi[rows], lo[rows] + stride[rows])
-        stride[rows] *= 4
+        stride[rows] = np.maximum(1, 4 * stride[rows])
         rows, stop = live[~holds], stop[~holds]
         one = last[rows] == lo[rows]  # a window that fails: so do all that hold the place and end behind it
         lo[rows[one]] = stop[one] + 1
-        last[rows[one]], stride[rows[one]] = hi[rows[one]], PLACES
+        last[rows[one]], stride[rows[one]] = lo[rows[one]], PLACES
         rows, stop = rows[~one], stop[~one]
         tail = (stop < last[rows]) & (last[rows] == hi[rows])  # windows behind the place stand
         mark(rows[tail], stop[tail] + 1, hi[rows[tail]])
         hi[rows[tail]] = stop[tail]
         before = stop - WINDOW >= lo[rows]  # next, what ends at the place; else the first window by itself
         last[rows] = np.where(before, stop - WINDOW, lo[rows])
-        stride[rows] = np.where(before, PLACES, 1)
+        stride[rows] = np.where(before, 0, 1)
         live = live[lo[live] <= hi[live]]
     some = mask != 0
     return pd.DataFrame({"context": shard["context"].to_numpy()[some], "mask": mask[some]})
