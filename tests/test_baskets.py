@@ -178,3 +178,61 @@ def test_packs_keep_the_rows_of_a_basket_where_they_were_dealt(spark):
     facts = {r.basket_id: json.loads(r.facts) for r in packs.collect()}
     assert [(x["store"], x["missing_labels"]) for x in facts[1]["other_stores"]] == [("wf", ["bread", "eggs"]), ("Kr", ["bread", "eggs"])]
     assert facts[2]["winner"]["missing_labels"] == [] and facts[2]["_provenance"]["price_ids"] == ["a", "a"]
+
+
+@pytest.fixture
+def nothing_small(spark):
+    """No table is small enough for Spark to send it to all tasks by itself."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_few_offers_are_sent_to_the_lines_whatever_their_guessed_size(spark, nothing_small):
+    _, items, offers = sheet(spark, [(1, "kr", 3.0, 1.0), (2, "kr", 4.0, 0.9), (1, "wf", 1.0, 1.0)], MILK_EGGS)
+    s = B.basket_sheet(items, offers)
+    for df in (s, B.store_ranking(s), B.verdict(s), B.basket_store_totals(items, offers)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan[:plan.index("Generate")]
+    assert {(r.source, r.covered_flexible) for r in s.collect()} == {("kr", 2), ("wf", 1)}
+
+
+def test_rows_of_a_basket_stand_together(spark):
+    items = spark.range(3000).selectExpr("id % 300 AS basket_id", "id DIV 300 AS canonical_id", "1L AS quantity")
+    rows = B.basket_list(items.repartition(2, "basket_id")).collect()
+    starts = [r.basket_id for before, r in zip([None, *rows], rows) if before is None or before.basket_id != r.basket_id]
+    assert len(starts) == len(set(starts)) == 300 and len(rows) == 3000
+
+
+def test_gold_rows_are_dealt_once(spark, nothing_small, tmp_path):
+    """Prices and listings are dealt by listing while narrow; stores, parts and sizes are sent to them. The rows are those of
+    the prices as they come, with keys that are null, twice or nobody's."""
+    from checks.roles import PRICE_TIES, Roles
+    from cartledger.operators.gold import gold_current_prices
+
+    tables = {
+        "region": ([(1, "EUROPE")], "r_regionkey bigint, r_name string"),
+        "nation": ([(1, "FRANCE", 1), (2, "SPAIN", 1)], "n_nationkey bigint, n_name string, n_regionkey bigint"),
+        "supplier": ([(1, "s1", 1), (2, "s2", 2), (3, "s3", None)], "s_suppkey bigint, s_name string, s_nationkey bigint"),
+        "part": ([(k, f"red n{k % 3}", "b", "t", 3) for k in range(3, 21)] + [(20, "red n2", "b", "t", 3)],
+                 "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int"),
+        "lineitem": (
+            [(o, p, s, n, 2.0, 10.0 * o + p, 0.1 * (n % 2), f"199{o % 8}-01-0{n}")
+             for n, (o, p, s) in enumerate([(o, p, s) for o in range(1, 4) for p in (19, 20, 99, None) for s in (1, 2, 3, None)][:9] * 2, 1)
+             for n in [n % 9 + 1]],
+            "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+            "l_discount double, l_shipdate string",
+        ),
+    }
+    for name, (rows, ddl) in tables.items():
+        df = spark.createDataFrame(rows, ddl)
+        df = df.withColumn("l_shipdate", df.l_shipdate.cast("timestamp")) if name == "lineitem" else df
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    r = Roles(spark, str(tmp_path))
+    exchanges = [x for x in r.gold._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning(" in x]
+    assert sum("hashpartitioning(concat_ws" in x for x in exchanges) == 2
+    assert not [x for x in exchanges if any(f"hashpartitioning({k}#" in x for k in ("source_product_id", "l_suppkey", "l_partkey", "source", "_sku"))]
+    assert r.prices.exceptAll(r.dealt_prices).count() == r.dealt_prices.exceptAll(r.prices).count() == 0
+    plain = gold_current_prices(r.prices, r.source_products, r.canonical, r.stores, tie_break=PRICE_TIES)
+    kept = ["canonical_id", "source", "store_id", "price_id", "price"]
+    assert sorted(r.gold.select(*kept).distinct().collect()) == sorted(plain.select(*kept).distinct().collect()) != []
