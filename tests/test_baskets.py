@@ -197,6 +197,25 @@ def test_few_offers_are_sent_to_the_lines_whatever_their_guessed_size(spark, not
     assert {(r.source, r.covered_flexible) for r in s.collect()} == {("kr", 2), ("wf", 1)}
 
 
+def test_labels_stay_where_their_basket_was_dealt(spark, nothing_small, monkeypatch):
+    """A basket's masks are sent to its lines, though the sheet has other tasks; packs ask for the tasks of the sheet."""
+    from pyspark.sql.functions import broadcast
+
+    monkeypatch.setattr(B, "ROWS_A_TASK", 1)
+    _, items, offers = sheet(spark, [(1, "kr", 3.0, 1.0), (2, "kr", 4.0, 1.0), (1, "wf", 1.0, 1.0)], [
+        (basket, product, f"label {product}", 1) for basket in range(10) for product in (1, 2)])
+    s, dealt = B.basket_sheet(items, offers), B.by_basket(items).groupBy("basket_id", "canonical_id", "label").count()
+
+    def moved(**how):
+        masks = B.missing_masks(dealt, offers, s, broadcast(B.source_bits(s)), **how)
+        plan = masks._jdf.queryExecution().executedPlan().toString()
+        found = sum("Exchange hashpartitioning(basket_id" in x and "ENSURE_REQUIREMENTS" in x for x in plan.splitlines())
+        return found, {(r.basket_id, r.label, r.lacking_flexible) for r in B.missing_counts(masks).collect()}
+
+    expected = {(basket, "label 2", 1) for basket in range(10)}
+    assert moved() == (0, expected) and moved(like_sheet=True) == (1, expected)
+
+
 def test_rows_of_a_basket_stand_together(spark):
     items = spark.range(3000).selectExpr("id % 300 AS basket_id", "id DIV 300 AS canonical_id", "1L AS quantity")
     rows = B.basket_list(items.repartition(2, "basket_id")).collect()
