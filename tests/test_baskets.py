@@ -180,6 +180,59 @@ def test_packs_keep_the_rows_of_a_basket_where_they_were_dealt(spark):
     assert facts[2]["winner"]["missing_labels"] == [] and facts[2]["_provenance"]["price_ids"] == ["a", "a"]
 
 
+def test_a_reader_of_numbers_gathers_no_price_ids(spark, monkeypatch):
+    """Packs know their numbers without ids, however many these are; facts hold all of them."""
+    import json
+    import re
+    from decimal import Decimal
+
+    from cartledger.plans import narration as N
+    from cartledger.plans.baskets import basket_tables
+
+    gold = spark.createDataFrame([(1, "milk", "kr", "1", Decimal(3), None, None, 1.0, "b"), (1, "milk", "wf", "2", Decimal(2), None, None, 1.0, "a")], GOLD)
+    gold = gold.selectExpr("*", "date'2026-01-01' AS ad_week")
+    items = spark.createDataFrame([*MILK_EGGS, (2, 1, "milk", 1)], "basket_id bigint, canonical_id bigint, label string, quantity bigint")
+    sources = spark.createDataFrame([("kr", "Kr")], "source string, banner string")
+    for most in (B.SENT_IDS, 0):
+        monkeypatch.setattr(B, "SENT_IDS", most)
+        t = basket_tables(items, gold, write_gold=True)
+        packs = N.fact_pack(t.ranking, t.missing_flexible, t.verdict, sources, t.provenance)
+        unread = packs.select("basket_id", "numbers")._jdf.queryExecution().optimizedPlan().toString()
+        assert "collect_list(price_id" not in unread and not re.search(r"\bids#", unread)
+        facts = {r.basket_id: json.loads(r.facts) for r in packs.collect()}
+        assert facts[2]["_provenance"] == {"basket_id": 2, "price_id_count": 2, "price_ids": ["a", "b"], "views": facts[1]["_provenance"]["views"]}
+        assert list(facts[2])[0] == "n_items" and list(facts[2])[-1] == "_provenance" and facts[2]["winner"]["total"] == 2.0
+
+
+def test_ids_too_many_to_send_are_the_same_ids(spark, monkeypatch):
+    gold = spark.createDataFrame([(1, "b", "2026-01-01"), (1, "a", "2026-01-08"), (2, "c", None), (4, None, None)],
+                                 "canonical_id bigint, price_id string, ad_week string")
+    items = spark.createDataFrame([(1, 2), (1, 1), (1, 1), (2, 1), (None, 2), (3, None), (4, 4)], "basket_id bigint, canonical_id bigint")
+    sent = B.provenance(items, gold, tasks=3).collect()
+    monkeypatch.setattr(B, "SENT_IDS", 0)
+    rows = B.provenance(items, gold, tasks=3)
+    assert sorted(map(str, rows.collect())) == sorted(map(str, sent)) and len(sent) == 5
+    unread = rows.drop("price_ids")._jdf.queryExecution().optimizedPlan().toString()
+    assert unread.count("Join") == 1 and "collect_list" not in unread
+
+
+def test_dealt_lines_are_not_dealt_again(spark):
+    from decimal import Decimal
+
+    from cartledger.plans.baskets import basket_tables
+
+    _, items, _ = sheet(spark, [], MILK_EGGS)
+    gold = spark.createDataFrame([(1, "milk", "kr", "1", Decimal(3), None, None, 1.0, "b")], GOLD)
+    dealt = basket_tables(B.by_basket(items, 7), gold, dealt=7)
+    for rows in (dealt.ranking, dealt.verdict, dealt.missing_masks):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        moved = [x for x in plan.splitlines() if "Exchange hashpartitioning(basket_id" in x]
+        assert moved and all(", 7), REPARTITION_BY_NUM" in x for x in moved) and len(moved) <= 2
+    plain = basket_tables(items, gold)
+    assert sorted(map(str, dealt.missing.collect())) == sorted(map(str, plain.missing.collect())) != []
+    assert sorted(map(str, dealt.verdict.collect())) == sorted(map(str, plain.verdict.collect()))
+
+
 @pytest.fixture
 def nothing_small(spark):
     """No table is small enough for Spark to send it to all tasks by itself."""
