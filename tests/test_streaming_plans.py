@@ -73,6 +73,31 @@ def test_a_delivery_is_known_again(spark):
     assert spark.read.parquet(f"{root}/artifacts").count() == 2
 
 
+def test_known_deliveries_are_kept_on_disk(spark):
+    """The stream's state lies in RocksDB within a bound of memory; a store that the session names stays, and so does the session."""
+    key, bound = "spark.sql.streaming.stateStore.providerClass", "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage"
+
+    def store(root):
+        with open(f"{root}/stream-checkpoint/offsets/0") as f:
+            return json.loads(f.read().split("\n")[1])["conf"][key]
+
+    incoming, own = tempfile.mkdtemp(), "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    drop(incoming, "a", artifact(1, 0, product("1", "Milk", 3.0)))
+    first, second = tempfile.mkdtemp(), tempfile.mkdtemp()
+    I.ingest_stream(spark, incoming, first).awaitTermination()
+    assert store(first).endswith("RocksDBStateStoreProvider") and spark.conf.get(key, None) is spark.conf.get(bound, None) is None
+    spark.conf.set(key, own)
+    try:
+        I.ingest_stream(spark, incoming, second).awaitTermination()
+        assert store(second) == spark.conf.get(key) == own
+    finally:
+        spark.conf.unset(key)
+    drop(incoming, "b", artifact(1, 1, product("1", "Milk", 4.0)), artifact(2, 1, product("1", "Milk", 5.0)))
+    for root in (first, second):  # a stream goes on with the store it has
+        I.ingest_stream(spark, incoming, root).awaitTermination()
+        assert sorted(float(r.price) for r in I.ingested_prices(spark, root).collect()) == [3.0, 5.0]
+
+
 def test_a_payload_is_parsed_once(spark, monkeypatch):
     """Prices and sightings read the same records; what becomes of an artifact needs no join."""
     incoming, root, parsed = tempfile.mkdtemp(), tempfile.mkdtemp(), spark.sparkContext.accumulator(0)
